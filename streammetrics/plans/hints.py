@@ -1,0 +1,20 @@
+"""Join hints that are only applied behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Lookup tables above this many rows are not broadcast; the join is left to
+# Spark (sort-merge, with AQE converting it at runtime if it turns out small).
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check counts at most ``max_rows + 1`` rows, so it is cheap for a small
+    table and bounded for a big one.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
