@@ -1,0 +1,160 @@
+"""Streaming job: stream = batch, restart recovery, idempotent batches, windows."""
+
+from __future__ import annotations
+
+import os
+import uuid
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SMALL
+from streammetrics.functions.lines import parse_lines
+from streammetrics.operators.metrics import METRICS, MEDALS_BY_YEAR
+from streammetrics.plans.queries import message_lines
+from streammetrics.session import local_path, scratch_path
+from streammetrics.streaming.job import JobConfig, MetricsJob, main, read_global
+
+T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def sim_clock(slide: int):
+    return lambda batch_id: T0 + timedelta(seconds=slide * batch_id)
+
+
+@pytest.fixture(scope="module")
+def feed(spark):
+    """Message lines split into files under one folder (4+ files)."""
+    lines = message_lines(spark, SMALL)
+    path = scratch_path(spark, "feed-files")
+    lines.repartition(4).write.text(path)
+    files = sorted(f for f in os.listdir(local_path(path)) if f.startswith("part-"))
+    # the file source takes the oldest files first: make arrival order = name order
+    for i, f in enumerate(files):
+        os.utime(os.path.join(local_path(path), f), (1_600_000_000 + i, 1_600_000_000 + i))
+    return path, files, lines
+
+
+def _job(spark, src, window=10, slide=10, per_batch=1, clock=None, out=None, ckpt=None):
+    base = scratch_path(spark, "job")
+    cfg = JobConfig(window, slide, 0, ckpt or f"{base}/ckpt", out or f"{base}/out",
+                    source_path=src, source_options={"maxFilesPerTrigger": str(per_batch)},
+                    available_now=True)
+    return MetricsJob(spark, cfg, clock=clock or sim_clock(slide)), cfg
+
+
+def _rows(df, cols=None):
+    cols = cols or sorted(df.columns)
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def _batch_globals(spark, lines):
+    recs = parse_lines(lines)
+    return {m.id: m.global_result(m.partial(recs)) for m in METRICS}
+
+
+def test_stream_equals_batch(spark, feed):
+    path, files, lines = feed
+    job, cfg = _job(spark, path)
+    job.run()
+    want = _batch_globals(spark, lines)
+    for m in METRICS:
+        got = read_global(spark, cfg.output_dir, m.id).drop("timestamp")
+        assert _rows(got) == _rows(want[m.id]), m.id
+    # four micro-batches ran, one per file
+    batches = spark.read.parquet(f"{cfg.output_dir}/state/_stamps").select("batch_id").distinct().count()
+    assert batches == len(files)
+
+
+def test_file_order_does_not_change_totals(spark, feed):
+    path, files, lines = feed
+    src = scratch_path(spark, "permuted")
+    os.makedirs(local_path(src))
+    # newest-first arrival: link files in reverse order with increasing mtimes
+    for i, f in enumerate(reversed(files)):
+        dst = os.path.join(local_path(src), f)
+        with open(os.path.join(local_path(path), f), "rb") as a, open(dst, "wb") as b:
+            b.write(a.read())
+        os.utime(dst, (1_700_000_000 + i, 1_700_000_000 + i))
+    job, cfg = _job(spark, src)
+    job.run()
+    want = _batch_globals(spark, lines)["medals_by_year"]
+    got = read_global(spark, cfg.output_dir, "medals_by_year").drop("timestamp")
+    assert _rows(got) == _rows(want)
+
+
+def test_restart_continues_from_checkpoint(spark, feed):
+    path, files, lines = feed
+    src = scratch_path(spark, "growing")
+    os.makedirs(local_path(src))
+    base = scratch_path(spark, "restart")
+
+    def copy(fs):
+        for f in fs:
+            with open(os.path.join(local_path(path), f), "rb") as a, \
+                    open(os.path.join(local_path(src), f), "wb") as b:
+                b.write(a.read())
+
+    copy(files[:2])
+    job, cfg = _job(spark, src, out=f"{base}/out", ckpt=f"{base}/ckpt")
+    job.run()                                  # first run: two batches
+    copy(files[2:])
+    job2, _ = _job(spark, src, out=f"{base}/out", ckpt=f"{base}/ckpt")
+    job2.run()                                 # restarted job: only the new files
+    want = _batch_globals(spark, lines)["top_10_countries_per_year"]
+    got = read_global(spark, cfg.output_dir, "top_10_countries_per_year").drop("timestamp")
+    assert _rows(got) == _rows(want)
+
+
+def test_rerunning_a_batch_is_idempotent(spark, feed):
+    path, files, lines = feed
+    job, cfg = _job(spark, path)
+    part = spark.read.text(os.path.join(path, files[0]))
+    job.process_batch(part, 0)
+    first = _rows(read_global(spark, cfg.output_dir, "medals_by_year"))
+    tables_first = _rows(spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year"))
+    # the same batch again (e.g. after a crash before the commit) must not double count
+    job2 = MetricsJob(spark, cfg, clock=lambda b: T0 + timedelta(days=999))
+    job2.process_batch(part, 0)
+    assert _rows(read_global(spark, cfg.output_dir, "medals_by_year")) == first
+    assert _rows(spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year")) == tables_first
+
+
+def test_sliding_window_sums_the_last_panes(spark, feed):
+    path, files, lines = feed
+    job, cfg = _job(spark, path, window=20, slide=10)     # window = two panes
+    job.run()
+    per_file = [parse_lines(spark.read.text(os.path.join(path, f))) for f in files]
+    tables = spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year")
+    for b in range(len(files)):
+        recs = per_file[b] if b == 0 else per_file[b].unionByName(per_file[b - 1])
+        want = MEDALS_BY_YEAR.local(recs)
+        got = tables.where(F.col("batch_id") == b).select("year", "count")
+        assert _rows(got) == _rows(want), b
+    # per-window CSV dumps exist, one folder per stamp and metric
+    dumps = os.listdir(local_path(f"{cfg.output_dir}/dumps"))
+    assert len(dumps) == len(files)
+
+
+def test_stamps_are_shared_and_recorded(spark, feed):
+    path, files, _ = feed
+    job, cfg = _job(spark, path)
+    job.run()
+    t = spark.read.parquet(f"{cfg.output_dir}/tables/top_10_cities_global")
+    g = spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year_global")
+    a = {(r.batch_id, r.timestamp) for r in t.select("batch_id", "timestamp").distinct().collect()}
+    b = {(r.batch_id, r.timestamp) for r in g.select("batch_id", "timestamp").distinct().collect()}
+    assert a == b and len(a) == len(files)
+
+
+def test_cli_requires_four_arguments(capsys):
+    assert main(["10", "10", "1"]) == 1
+    assert "ERROR" in capsys.readouterr().err
+
+
+def test_config_checks():
+    with pytest.raises(ValueError):
+        JobConfig(15, 10, 0, "c", "o")
+    with pytest.raises(ValueError):
+        JobConfig(10, 10, -1, "c", "o")
