@@ -1,0 +1,63 @@
+"""Single-query streaming forms, run to completion with the memory sink."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from conftest import SMALL
+from streammetrics.functions.lines import parse_lines
+from streammetrics.operators.metrics import MEDALS_BY_YEAR, TOP_10_CITIES
+from streammetrics.plans.queries import message_lines
+from streammetrics.session import scratch_path
+from streammetrics.sources.files import read_stream
+from streammetrics.sources.tables import achievements
+from streammetrics.streaming import windows
+
+
+def _run(df, mode):
+    name = "q_" + uuid.uuid4().hex[:8]
+    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
+         .option("checkpointLocation", scratch_path(df.sparkSession, "ckpt")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return df.sparkSession.table(name)
+
+
+def _rows(df, cols):
+    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+
+
+def test_running_totals_stream(spark):
+    lines = message_lines(spark, SMALL)
+    src = lines.inputFiles()[0].rsplit("/", 1)[0]
+    stream = parse_lines(read_stream(spark, "text", src, {"maxFilesPerTrigger": "1"}))
+    got = _run(windows.running_totals(stream, TOP_10_CITIES), "complete")
+    want = TOP_10_CITIES.partial(parse_lines(lines))
+    assert _rows(got, ["city", "count"]) == _rows(want, ["city", "count"])
+
+
+def test_arrival_windows_count_every_accepted_record_once(spark):
+    lines = message_lines(spark, SMALL)
+    src = lines.inputFiles()[0].rsplit("/", 1)[0]
+    stream = read_stream(spark, "text", src)
+    got = _run(windows.arrival_window_counts(stream, MEDALS_BY_YEAR, "1 hour"), "update")
+    totals = got.groupBy("year").agg(F.sum("count").alias("count"))
+    want = MEDALS_BY_YEAR.partial(parse_lines(lines))
+    assert _rows(totals, ["year", "count"]) == _rows(want, ["year", "count"])
+
+
+def test_event_time_windows_on_a_stream(spark):
+    recs = achievements(spark, SMALL, with_ts=True).withColumn("ts", F.col("ts").cast("timestamp"))
+    path = scratch_path(spark, "timed")
+    recs.write.parquet(path)
+    stream = spark.readStream.schema(recs.schema).parquet(path)
+    got = _run(windows.event_time_window_counts(stream, MEDALS_BY_YEAR, "ts", "7 days",
+                                                watermark="3650 days"), "update")
+    w = F.window("ts", "7 days")
+    want = (recs.where(MEDALS_BY_YEAR.predicate()).groupBy(w.alias("w"), "year").count()
+            .select(F.col("w.start").alias("window_start"), "year", "count"))
+    assert _rows(got, ["window_start", "year", "count"]) == _rows(want, ["window_start", "year", "count"])
