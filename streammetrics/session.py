@@ -57,12 +57,40 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on the cluster file system."""
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the cluster file system (Hadoop FileSystem API)."""
+    fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
-__all__ = ["build_session", "work_dir", "scratch_path", "local_path", "exists"]
+def delete(spark: SparkSession, path: str) -> bool:
+    """Recursively delete a path on the cluster file system."""
+    fs, p = _fs(spark, path)
+    return bool(fs.delete(p, True))
+
+
+def list_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
+    """Integer values of the ``column=value`` sub-folders of a partitioned table."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    out = []
+    prefix = column + "="
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix):
+            try:
+                out.append(int(name[len(prefix):]))
+            except ValueError:
+                pass
+    return sorted(out)
+
+
+__all__ = ["build_session", "work_dir", "scratch_path", "local_path", "exists", "delete",
+           "list_partitions"]

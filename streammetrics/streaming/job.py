@@ -27,14 +27,15 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import parse_lines
 from ..functions.stamps import STAMP, stamp_folder, stamp_literal
 from ..operators.metrics import METRICS, Metric
+from ..session import delete, exists, list_partitions
 from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
 from ..sources.files import read_stream
 
@@ -60,6 +61,7 @@ class JobConfig:
     parse_mode: str = "DROPMALFORMED"
     partitions: int | None = None     # cap on batch input and shuffle partitions
     available_now: bool = False       # process what is there, then stop (tests, backfills)
+    keep_versions: int = 3            # versions of each global table kept for readers
     metrics: tuple[Metric, ...] = METRICS
 
     def __post_init__(self):
@@ -81,44 +83,51 @@ class MetricsJob:
         # Stamp for a new batch; tests pass a simulated clock.
         self.clock = clock or (lambda _batch_id: datetime.now(timezone.utc))
         self._recent: dict[int, datetime] = {}      # batch id → stamp, within one window
-        self._totals_batch: dict[str, int | None] = {}
         self._recovered = False
 
     # --- paths ----------------------------------------------------------------
     def _p(self, *parts: str) -> str:
         return "/".join([self.cfg.output_dir.rstrip("/"), *parts])
 
-    def _read(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
-            return None
+    # --- state tables ---------------------------------------------------------
+    def _read_batches(self, path: str, ids, schema: T.StructType) -> DataFrame:
+        """Rows of the given batch partitions only (no listing of the whole table)."""
+        have = set(list_partitions(self.spark, path, BATCH_ID))
+        paths = [f"{path}/{BATCH_ID}={b}" for b in sorted(set(ids)) if b in have]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        df = self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
+        return df.select(*schema.fieldNames())
 
-    # --- stamps ---------------------------------------------------------------
     def _stamp(self, batch_id: int) -> datetime:
         """One stamp per batch, recorded before any output so a rerun reuses it."""
-        stamps = self._read(self._p("state", "_stamps"))
-        if stamps is not None:
-            row = stamps.where(F.col(BATCH_ID) == batch_id).select(F.unix_micros(STAMP)).first()
-            if row is not None:
-                return _from_micros(row[0])
+        path = self._p("state", "_stamps")
+        mine = f"{path}/{BATCH_ID}={batch_id}"
+        if exists(self.spark, mine):
+            us = self.spark.read.parquet(mine).select(F.unix_micros(STAMP)).first()
+            if us is not None:
+                return _from_micros(us[0])
         ts = self.clock(batch_id)
         rec = self.spark.range(1).select(stamp_literal(ts).alias(STAMP))
-        write_batch_partition(rec, self._p("state", "_stamps"), batch_id)
+        write_batch_partition(rec, path, batch_id)
         return ts
 
     def _recover(self, batch_id: int, stamp: datetime) -> None:
-        """After a restart: reload the stamps of recent batches (bounded by one window)."""
+        """After a restart: reload the stamps of the batches still in the window."""
         if self._recovered:
             return
         self._recovered = True
-        stamps = self._read(self._p("state", "_stamps"))
-        if stamps is None:
+        path = self._p("state", "_stamps")
+        ids = [b for b in list_partitions(self.spark, path, BATCH_ID) if b < batch_id]
+        if not ids:
             return
+        schema = T.StructType([T.StructField(STAMP, T.TimestampType())])
+        df = self._read_batches(path, ids, schema.add(BATCH_ID, T.LongType()))
         lo = stamp - timedelta(seconds=self.cfg.window_seconds)
-        for b, us in (stamps.where((F.col(BATCH_ID) < batch_id) & (F.col(STAMP) > stamp_literal(lo)))
-                      .select(BATCH_ID, F.unix_micros(STAMP)).collect()):
-            self._recent[b] = _from_micros(us)
+        for b, us in df.select(BATCH_ID, F.unix_micros(STAMP)).collect():
+            ts = _from_micros(us)
+            if ts > lo:
+                self._recent[b] = ts
 
     def _window_batches(self, batch_id: int, stamp: datetime) -> list[int]:
         lo = stamp - timedelta(seconds=self.cfg.window_seconds)
@@ -126,17 +135,14 @@ class MetricsJob:
         self._recent[batch_id] = stamp
         return sorted(self._recent)
 
-    def _previous_totals(self, metric: Metric, batch_id: int) -> int | None:
-        key = metric.id
-        if key not in self._totals_batch:
-            totals = self._read(self._p("state", "totals", metric.id))
-            prev = None
-            if totals is not None:
-                prev = (totals.where(F.col(BATCH_ID) < batch_id)
-                        .agg(F.max(BATCH_ID)).first()[0])
-            self._totals_batch[key] = prev
-        prev = self._totals_batch[key]
-        return prev if prev is None or prev < batch_id else None
+    def _previous_totals(self, totals_path: str, batch_id: int) -> int | None:
+        older = [b for b in list_partitions(self.spark, totals_path, BATCH_ID) if b < batch_id]
+        return older[-1] if older else None
+
+    def _drop_partitions(self, path: str, keep) -> None:
+        for b in list_partitions(self.spark, path, BATCH_ID):
+            if not keep(b):
+                delete(self.spark, f"{path}/{BATCH_ID}={b}")
 
     # --- one micro-batch ------------------------------------------------------
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
@@ -156,42 +162,50 @@ class MetricsJob:
                 self._metric_batch(metric, parsed, batch_id, stamp_col, folder, window_ids)
         finally:
             parsed.unpersist()
+        oldest = window_ids[0]
+        self._drop_partitions(self._p("state", "_stamps"), lambda b: b >= min(oldest, batch_id - 1))
 
     def _metric_batch(self, metric: Metric, parsed: DataFrame, batch_id: int, stamp_col,
                       folder: str, window_ids: list[int]) -> None:
         cfg = self.cfg
         state_path = self._p("state", "panes", metric.id)
         totals_path = self._p("state", "totals", metric.id)
+        global_path = self._p("tables", f"{metric.id}_global")
 
         # 1. pane partial, keyed by batch id
         partial = metric.partial(parsed).withColumn(PANE_TS, stamp_col)
         write_batch_partition(partial, state_path, batch_id)
-        panes = self.spark.read.parquet(state_path)
+        pane_schema = partial.schema
+        counts = T.StructType([partial.schema[k] for k in (*metric.keys, "count")])
 
         # 2. window result = merged partials of the panes in the window
-        in_window = panes.where(F.col(BATCH_ID).isin(window_ids))
-        local = metric.merge(in_window)
+        local = metric.merge(self._read_batches(state_path, window_ids, pane_schema))
         order = metric.order()
         write_dump(local.orderBy(*order) if order else local, self._p("dumps", folder, metric.id))
         write_batch_partition(local.withColumn(STAMP, stamp_col), self._p("tables", metric.id),
                               batch_id, cfg.table_format, cfg.table_options)
 
         # 3. running totals = previous snapshot + partials written since
-        prev = self._previous_totals(metric, batch_id)
-        since = panes.where((F.col(BATCH_ID) <= batch_id) &
-                            (F.col(BATCH_ID) > (prev if prev is not None else -1)))
-        parts = since.select(*metric.keys, "count")
+        prev = self._previous_totals(totals_path, batch_id)
+        lo = prev if prev is not None else -1
+        since_ids = [b for b in list_partitions(self.spark, state_path, BATCH_ID) if lo < b <= batch_id]
+        parts = self._read_batches(state_path, since_ids, pane_schema).select(*counts.fieldNames())
         if prev is not None:
-            snap = self.spark.read.parquet(totals_path).where(F.col(BATCH_ID) == prev)
-            parts = parts.unionByName(snap.select(*metric.keys, "count"))
+            parts = parts.unionByName(self._read_batches(totals_path, [prev], counts))
         write_batch_partition(metric.merge(parts), totals_path, batch_id)
-        self._totals_batch[metric.id] = batch_id
 
         # 4. global result from the new snapshot, versioned by batch id
-        totals = self.spark.read.parquet(totals_path).where(F.col(BATCH_ID) == batch_id).drop(BATCH_ID)
-        write_batch_partition(metric.finish(totals).withColumn(STAMP, stamp_col),
-                              self._p("tables", f"{metric.id}_global"), batch_id,
-                              cfg.table_format, cfg.table_options)
+        totals = self._read_batches(totals_path, [batch_id], counts)
+        write_batch_partition(metric.finish(totals).withColumn(STAMP, stamp_col), global_path,
+                              batch_id, cfg.table_format, cfg.table_options)
+
+        # 5. retention: what is folded into the snapshot and out of the window goes;
+        #    the snapshot a rerun of this batch would start from stays.
+        self._drop_partitions(totals_path, lambda b: prev is None or b >= prev)
+        self._drop_partitions(state_path, lambda b: b > lo or b >= window_ids[0])
+        versions = list_partitions(self.spark, global_path, BATCH_ID)
+        keep_from = versions[-cfg.keep_versions] if len(versions) >= cfg.keep_versions else -1
+        self._drop_partitions(global_path, lambda b: b >= keep_from)
 
     # --- running --------------------------------------------------------------
     def start(self) -> StreamingQuery:

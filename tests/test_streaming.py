@@ -63,8 +63,12 @@ def test_stream_equals_batch(spark, feed):
         got = read_global(spark, cfg.output_dir, m.id).drop("timestamp")
         assert _rows(got) == _rows(want[m.id]), m.id
     # four micro-batches ran, one per file
-    batches = spark.read.parquet(f"{cfg.output_dir}/state/_stamps").select("batch_id").distinct().count()
+    batches = spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year").select("batch_id").distinct().count()
     assert batches == len(files)
+    # retention: only the newest snapshot(s) and global versions remain
+    from streammetrics.session import list_partitions
+    assert len(list_partitions(spark, f"{cfg.output_dir}/state/totals/medals_by_year", "batch_id")) <= 2
+    assert len(list_partitions(spark, f"{cfg.output_dir}/tables/medals_by_year_global", "batch_id")) <= 3
 
 
 def test_file_order_does_not_change_totals(spark, feed):
@@ -141,8 +145,10 @@ def test_stamps_are_shared_and_recorded(spark, feed):
     path, files, _ = feed
     job, cfg = _job(spark, path)
     job.run()
-    t = spark.read.parquet(f"{cfg.output_dir}/tables/top_10_cities_global")
-    g = spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year_global")
+    t = spark.read.parquet(f"{cfg.output_dir}/tables/top_10_cities")
+    g = spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year")
+    newest = spark.read.parquet(f"{cfg.output_dir}/tables/top_10_countries_per_year_global")
+    assert newest.select("timestamp").distinct().count() <= 3
     a = {(r.batch_id, r.timestamp) for r in t.select("batch_id", "timestamp").distinct().collect()}
     b = {(r.batch_id, r.timestamp) for r in g.select("batch_id", "timestamp").distinct().collect()}
     assert a == b and len(a) == len(files)
