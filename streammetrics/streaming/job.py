@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -40,6 +40,7 @@ from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
 from ..sources.files import read_stream
 
 PANE_TS = "pane_ts"
+BATCHES = "_batches"          # per-batch line and record counts
 
 
 def _from_micros(us: int) -> datetime:
@@ -156,8 +157,16 @@ class MetricsJob:
         window_ids = self._window_batches(batch_id, stamp)
         folder = stamp_folder(stamp)
         stamp_col = stamp_literal(stamp)
-        parsed = parse_lines(lines, mode=cfg.parse_mode).persist(StorageLevel.MEMORY_AND_DISK)
+        obs = Observation(f"lines_{batch_id}")
+        observed = lines.observe(obs, F.count(F.lit(1)).alias("lines"))
+        parsed = parse_lines(observed, mode=cfg.parse_mode).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            records = parsed.count()          # fills the cache once for all metrics
+            stats = self.spark.range(1).select(
+                F.lit(obs.get.get("lines", 0)).cast("long").alias("lines"),
+                F.lit(records).cast("long").alias("records"), stamp_col.alias(STAMP))
+            write_batch_partition(stats, self._p("tables", BATCHES), batch_id,
+                                  cfg.table_format, cfg.table_options)
             for metric in cfg.metrics:
                 self._metric_batch(metric, parsed, batch_id, stamp_col, folder, window_ids)
         finally:

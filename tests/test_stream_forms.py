@@ -28,7 +28,8 @@ def _run(df, mode):
 
 
 def _rows(df, cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+    return sorted((tuple(r[c] for c in cols) for r in df.collect()),
+                  key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
 def test_running_totals_stream(spark):
@@ -61,3 +62,19 @@ def test_event_time_windows_on_a_stream(spark):
     want = (recs.where(MEDALS_BY_YEAR.predicate()).groupBy(w.alias("w"), "year").count()
             .select(F.col("w.start").alias("window_start"), "year", "count"))
     assert _rows(got, ["window_start", "year", "count"]) == _rows(want, ["window_start", "year", "count"])
+
+
+def test_stream_static_enrichment(spark):
+    from streammetrics.functions.lines import encode_lines
+    from streammetrics.operators.enrich import enrich
+    from streammetrics.schema import SOURCE_COLUMNS
+    from streammetrics.sources.tables import region_lookup, source_events
+    ev = source_events(spark, SMALL)
+    path = scratch_path(spark, "events-lines")
+    encode_lines(ev).write.text(path)
+    sch = achievements(spark, SMALL).select(*SOURCE_COLUMNS).schema
+    stream = parse_lines(read_stream(spark, "text", path), sch)
+    got = _run(enrich(stream, region_lookup(spark, SMALL), check_size=False), "append")
+    want = enrich(ev, region_lookup(spark, SMALL))
+    cols = ["id", "noc", "region", "notes", "year", "medal"]
+    assert _rows(got, cols) == _rows(want, cols)

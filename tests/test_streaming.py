@@ -65,6 +65,9 @@ def test_stream_equals_batch(spark, feed):
     # four micro-batches ran, one per file
     batches = spark.read.parquet(f"{cfg.output_dir}/tables/medals_by_year").select("batch_id").distinct().count()
     assert batches == len(files)
+    stats = spark.read.parquet(f"{cfg.output_dir}/tables/_batches")
+    tot = stats.agg(F.sum("lines"), F.sum("records")).first()
+    assert tot[0] == lines.count() and tot[1] == parse_lines(lines).count()
     # retention: only the newest snapshot(s) and global versions remain
     from streammetrics.session import list_partitions
     assert len(list_partitions(spark, f"{cfg.output_dir}/state/totals/medals_by_year", "batch_id")) <= 2
