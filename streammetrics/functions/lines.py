@@ -140,18 +140,20 @@ def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
                                             delimiter=delimiter, quote=quote).alias("__f"))
     cols, ok = parse_columns(F.col("__line"), schema, delimiter=delimiter, quote=quote,
                              null_value=null_value, fields=F.col("__f"))
-    # Each line yields an array of zero or one record that ``inline`` expands. A
-    # generator (rather than a filter) keeps the split fields computed once per
-    # line: a filter would be pushed below the projection with the split inlined
-    # into every field check.
-    one = F.array(F.struct(*cols))
+    # One projection computes the flag and the typed fields (sharing the split
+    # fields and casts), then each line yields an array of zero or one record
+    # that ``inline`` expands. A generator rather than a filter: a filter would
+    # be pushed below the projection with the split inlined into every check.
+    names = schema.fieldNames()
+    typed = src.select("__line", ok.alias("__ok"), *cols)
+    one = F.array(F.struct(*[F.col(n) for n in names]))
     if m == "DROPMALFORMED":
-        rec = F.when(ok, one)
+        rec = F.when(F.col("__ok"), one)
     else:
         # The error sits in the generator's input, so pruning can't remove it.
-        rec = F.when(ok, one).otherwise(
+        rec = F.when(F.col("__ok"), one).otherwise(
             F.raise_error(F.concat(F.lit("Malformed line: <"), F.col("__line"), F.lit(">"))))
-    return src.select(F.inline(rec))
+    return typed.select(F.inline(rec))
 
 
 def malformed_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
