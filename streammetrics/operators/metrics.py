@@ -60,6 +60,43 @@ class Metric:
         return self.finish(self.merge(partials))
 
 
+GROUPING = "_grouping"
+
+
+def _grouping_ids(metrics: Sequence[Metric]) -> tuple[list[str], dict[str, int]]:
+    cols: list[str] = []
+    for m in metrics:
+        cols += [k for k in m.keys if k not in cols]
+    n = len(cols)
+    gid = {m.id: sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in m.keys)
+           for m in metrics}
+    return cols, gid
+
+
+def combined_partials(records: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """All metrics' partial counts in one aggregation (GROUPING SETS).
+
+    Each record is read once; the grouping sets are the metrics' key sets and
+    each metric counts only the records its predicate keeps. The result holds,
+    per grouping set, the keys and one ``count_<id>`` column per metric; use
+    ``split_partial`` to take out one metric's partial.
+    """
+    cols, _ = _grouping_ids(metrics)
+    sets = [[F.col(k) for k in m.keys] for m in metrics]
+    aggs = [F.count_if(F.coalesce(m.predicate(), F.lit(False))).alias(f"{COUNT}_{m.id}")
+            for m in metrics]
+    return (records.groupingSets(sets, *cols)
+            .agg(F.grouping_id(*cols).alias(GROUPING), *aggs))
+
+
+def split_partial(combined: DataFrame, metrics: Sequence[Metric], metric: Metric) -> DataFrame:
+    """One metric's partial (keys…, count) from ``combined_partials``."""
+    _, gid = _grouping_ids(metrics)
+    c = F.col(f"{COUNT}_{metric.id}")
+    return (combined.where((F.col(GROUPING) == gid[metric.id]) & (c > 0))
+            .select(*metric.keys, c.cast("bigint").alias(COUNT)))
+
+
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
     """Global top-k (planned as TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(k)

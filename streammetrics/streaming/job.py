@@ -34,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import parse_lines
 from ..functions.stamps import STAMP, stamp_folder, stamp_literal
-from ..operators.metrics import METRICS, Metric
+from ..operators.metrics import METRICS, Metric, combined_partials, split_partial
 from ..session import delete, exists, list_partitions
 from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
 from ..sources.files import read_stream
@@ -100,35 +100,46 @@ class MetricsJob:
         df = self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
         return df.select(*schema.fieldNames())
 
-    def _stamp(self, batch_id: int) -> datetime:
-        """One stamp per batch, recorded before any output so a rerun reuses it."""
-        path = self._p("state", "_stamps")
+    def _stamp(self, batch_id: int, n_lines: int, n_records: int) -> datetime:
+        """One stamp per batch, recorded (with the batch's line and record counts)
+        before any output, so that a rerun of the batch reuses it."""
+        path = self._p("tables", BATCHES)
         mine = f"{path}/{BATCH_ID}={batch_id}"
         if exists(self.spark, mine):
             us = self.spark.read.parquet(mine).select(F.unix_micros(STAMP)).first()
             if us is not None:
                 return _from_micros(us[0])
         ts = self.clock(batch_id)
-        rec = self.spark.range(1).select(stamp_literal(ts).alias(STAMP))
+        rec = self.spark.range(1).select(
+            stamp_literal(ts).alias(STAMP), F.lit(n_lines).cast("long").alias("lines"),
+            F.lit(n_records).cast("long").alias("records"))
         write_batch_partition(rec, path, batch_id)
         return ts
 
     def _recover(self, batch_id: int, stamp: datetime) -> None:
-        """After a restart: reload the stamps of the batches still in the window."""
+        """After a restart: reload the stamps of the batches still in the window,
+        reading batch partitions newest first (stamps grow with batch ids)."""
         if self._recovered:
             return
         self._recovered = True
-        path = self._p("state", "_stamps")
+        path = self._p("tables", BATCHES)
         ids = [b for b in list_partitions(self.spark, path, BATCH_ID) if b < batch_id]
-        if not ids:
-            return
-        schema = T.StructType([T.StructField(STAMP, T.TimestampType())])
-        df = self._read_batches(path, ids, schema.add(BATCH_ID, T.LongType()))
+        schema = T.StructType([T.StructField(STAMP, T.TimestampType()),
+                               T.StructField(BATCH_ID, T.LongType())])
         lo = stamp - timedelta(seconds=self.cfg.window_seconds)
-        for b, us in df.select(BATCH_ID, F.unix_micros(STAMP)).collect():
-            ts = _from_micros(us)
-            if ts > lo:
-                self._recent[b] = ts
+        step = self.cfg.window_seconds // self.cfg.slide_seconds + 1
+        while ids:       # newest first, until a batch older than the window shows up
+            chunk, ids = ids[-step:], ids[:-step]
+            older = False
+            for b, us in (self._read_batches(path, chunk, schema)
+                          .select(BATCH_ID, F.unix_micros(STAMP)).collect()):
+                ts = _from_micros(us)
+                if ts > lo:
+                    self._recent[b] = ts
+                else:
+                    older = True
+            if older:
+                break
 
     def _window_batches(self, batch_id: int, stamp: datetime) -> list[int]:
         lo = stamp - timedelta(seconds=self.cfg.window_seconds)
@@ -150,31 +161,32 @@ class MetricsJob:
         cfg = self.cfg
         if cfg.partitions:
             lines = lines.coalesce(cfg.partitions)
-        if lines.isEmpty():          # raw lines: a window of malformed lines is not empty
-            return
-        stamp = self._stamp(batch_id)
-        self._recover(batch_id, stamp)
-        window_ids = self._window_batches(batch_id, stamp)
-        folder = stamp_folder(stamp)
-        stamp_col = stamp_literal(stamp)
-        obs = Observation(f"lines_{batch_id}")
-        observed = lines.observe(obs, F.count(F.lit(1)).alias("lines"))
-        parsed = parse_lines(observed, mode=cfg.parse_mode).persist(StorageLevel.MEMORY_AND_DISK)
+        # One pass over the batch: parse, then every metric's partial counts in a
+        # single grouping-sets aggregate. Only that small result is cached; the
+        # line and record counts come from observations of the same job.
+        seen = Observation(f"lines_{batch_id}")
+        kept = Observation(f"records_{batch_id}")
+        records = parse_lines(lines.observe(seen, F.count(F.lit(1)).alias("n")),
+                              mode=cfg.parse_mode)
+        records = records.observe(kept, F.count(F.lit(1)).alias("n"))
+        combined = combined_partials(records, cfg.metrics).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            records = parsed.count()          # fills the cache once for all metrics
-            stats = self.spark.range(1).select(
-                F.lit(obs.get.get("lines", 0)).cast("long").alias("lines"),
-                F.lit(records).cast("long").alias("records"), stamp_col.alias(STAMP))
-            write_batch_partition(stats, self._p("tables", BATCHES), batch_id,
-                                  cfg.table_format, cfg.table_options)
+            combined.count()
+            n_lines = seen.get.get("n", 0)
+            if n_lines == 0:       # raw lines: a window of malformed lines is not empty
+                return
+            stamp = self._stamp(batch_id, n_lines, kept.get.get("n", 0))
+            self._recover(batch_id, stamp)
+            window_ids = self._window_batches(batch_id, stamp)
+            folder = stamp_folder(stamp)
+            stamp_col = stamp_literal(stamp)
             for metric in cfg.metrics:
-                self._metric_batch(metric, parsed, batch_id, stamp_col, folder, window_ids)
+                partial = split_partial(combined, cfg.metrics, metric)
+                self._metric_batch(metric, partial, batch_id, stamp_col, folder, window_ids)
         finally:
-            parsed.unpersist()
-        oldest = window_ids[0]
-        self._drop_partitions(self._p("state", "_stamps"), lambda b: b >= min(oldest, batch_id - 1))
+            combined.unpersist()
 
-    def _metric_batch(self, metric: Metric, parsed: DataFrame, batch_id: int, stamp_col,
+    def _metric_batch(self, metric: Metric, partial: DataFrame, batch_id: int, stamp_col,
                       folder: str, window_ids: list[int]) -> None:
         cfg = self.cfg
         state_path = self._p("state", "panes", metric.id)
@@ -182,7 +194,7 @@ class MetricsJob:
         global_path = self._p("tables", f"{metric.id}_global")
 
         # 1. pane partial, keyed by batch id
-        partial = metric.partial(parsed).withColumn(PANE_TS, stamp_col)
+        partial = partial.withColumn(PANE_TS, stamp_col)
         write_batch_partition(partial, state_path, batch_id)
         pane_schema = partial.schema
         counts = T.StructType([partial.schema[k] for k in (*metric.keys, "count")])
