@@ -82,13 +82,22 @@ def combined_partials(records: DataFrame, metrics: Sequence[Metric]) -> DataFram
     ``split_partial`` to take out one metric's partial.
     """
     cols, _ = _grouping_ids(metrics)
-    sets = [[F.col(k) for k in m.keys] for m in metrics]
+    unique = list(dict.fromkeys(tuple(m.keys) for m in metrics))
+    sets = [[F.col(k) for k in keys] for keys in unique]
     aggs = [F.count_if(F.coalesce(m.predicate(), F.lit(False))).alias(f"{COUNT}_{m.id}")
             for m in metrics]
     return (records.groupingSets(sets, *cols)
             .agg(F.grouping_id(*cols).alias(GROUPING), *aggs))
 
 
+def merge_combined(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """Sum any union of ``combined_partials`` results, set by set."""
+    cols, _ = _grouping_ids(metrics)
+    return (combined.groupBy(GROUPING, *cols)
+            .agg(*[F.sum(f"{COUNT}_{m.id}").cast("bigint").alias(f"{COUNT}_{m.id}")
+                   for m in metrics]))
+
+
 def split_partial(combined: DataFrame, metrics: Sequence[Metric], metric: Metric) -> DataFrame:
     """One metric's partial (keys…, count) from ``combined_partials``."""
     _, gid = _grouping_ids(metrics)

@@ -34,12 +34,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import parse_lines
 from ..functions.stamps import STAMP, stamp_folder, stamp_literal
-from ..operators.metrics import METRICS, Metric, combined_partials, split_partial
+from ..operators.metrics import METRICS, Metric, combined_partials, merge_combined, split_partial
 from ..session import delete, exists, list_partitions
 from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
 from ..sources.files import read_stream
 
-PANE_TS = "pane_ts"
 BATCHES = "_batches"          # per-batch line and record counts
 
 
@@ -180,53 +179,61 @@ class MetricsJob:
             window_ids = self._window_batches(batch_id, stamp)
             folder = stamp_folder(stamp)
             stamp_col = stamp_literal(stamp)
-            for metric in cfg.metrics:
-                partial = split_partial(combined, cfg.metrics, metric)
-                self._metric_batch(metric, partial, batch_id, stamp_col, folder, window_ids)
+            self._batch_outputs(combined, batch_id, stamp_col, folder, window_ids)
         finally:
             combined.unpersist()
 
-    def _metric_batch(self, metric: Metric, partial: DataFrame, batch_id: int, stamp_col,
-                      folder: str, window_ids: list[int]) -> None:
-        cfg = self.cfg
-        state_path = self._p("state", "panes", metric.id)
-        totals_path = self._p("state", "totals", metric.id)
-        global_path = self._p("tables", f"{metric.id}_global")
-
-        # 1. pane partial, keyed by batch id
-        partial = partial.withColumn(PANE_TS, stamp_col)
-        write_batch_partition(partial, state_path, batch_id)
-        pane_schema = partial.schema
-        counts = T.StructType([partial.schema[k] for k in (*metric.keys, "count")])
-
-        # 2. window result = merged partials of the panes in the window
-        local = metric.merge(self._read_batches(state_path, window_ids, pane_schema))
-        order = metric.order()
-        write_dump(local.orderBy(*order) if order else local, self._p("dumps", folder, metric.id))
-        write_batch_partition(local.withColumn(STAMP, stamp_col), self._p("tables", metric.id),
-                              batch_id, cfg.table_format, cfg.table_options)
-
-        # 3. running totals = previous snapshot + partials written since
+    def _batch_outputs(self, combined: DataFrame, batch_id: int, stamp_col, folder: str,
+                       window_ids: list[int]) -> None:
+        cfg, metrics = self.cfg, self.cfg.metrics
+        panes_path = self._p("state", "panes")
+        totals_path = self._p("state", "totals")
+        schema = combined.schema
+        tumbling = cfg.window_seconds == cfg.slide_seconds
+
+        # 1. window = merged partials of the panes in the window. A tumbling
+        #    window is this batch alone and needs no pane table.
+        if tumbling:
+            window = combined
+        else:
+            write_batch_partition(combined, panes_path, batch_id)
+            window = merge_combined(self._read_batches(panes_path, window_ids, schema), metrics)
+
+        # 2. running totals = previous snapshot + partials since (one table for all metrics)
         prev = self._previous_totals(totals_path, batch_id)
         lo = prev if prev is not None else -1
-        since_ids = [b for b in list_partitions(self.spark, state_path, BATCH_ID) if lo < b <= batch_id]
-        parts = self._read_batches(state_path, since_ids, pane_schema).select(*counts.fieldNames())
+        if tumbling:
+            parts = combined
+        else:
+            since = [b for b in list_partitions(self.spark, panes_path, BATCH_ID) if lo < b <= batch_id]
+            parts = self._read_batches(panes_path, since, schema)
         if prev is not None:
-            parts = parts.unionByName(self._read_batches(totals_path, [prev], counts))
-        write_batch_partition(metric.merge(parts), totals_path, batch_id)
-
-        # 4. global result from the new snapshot, versioned by batch id
-        totals = self._read_batches(totals_path, [batch_id], counts)
-        write_batch_partition(metric.finish(totals).withColumn(STAMP, stamp_col), global_path,
-                              batch_id, cfg.table_format, cfg.table_options)
-
-        # 5. retention: what is folded into the snapshot and out of the window goes;
+            parts = parts.unionByName(self._read_batches(totals_path, [prev], schema))
+        write_batch_partition(merge_combined(parts, metrics), totals_path, batch_id)
+        totals = self._read_batches(totals_path, [batch_id], schema)
+
+        # 3. per metric: window dump + stamped append, global result (versioned)
+        for metric in metrics:
+            local = split_partial(window, metrics, metric)
+            order = metric.order()
+            write_dump(local.orderBy(*order) if order else local,
+                       self._p("dumps", folder, metric.id))
+            write_batch_partition(local.withColumn(STAMP, stamp_col),
+                                  self._p("tables", metric.id), batch_id,
+                                  cfg.table_format, cfg.table_options)
+            global_path = self._p("tables", f"{metric.id}_global")
+            result = metric.finish(split_partial(totals, metrics, metric))
+            write_batch_partition(result.withColumn(STAMP, stamp_col), global_path, batch_id,
+                                  cfg.table_format, cfg.table_options)
+            versions = list_partitions(self.spark, global_path, BATCH_ID)
+            keep_from = versions[-cfg.keep_versions] if len(versions) >= cfg.keep_versions else -1
+            self._drop_partitions(global_path, lambda b: b >= keep_from)
+
+        # 4. retention: what is folded into the snapshot and out of the window goes;
         #    the snapshot a rerun of this batch would start from stays.
         self._drop_partitions(totals_path, lambda b: prev is None or b >= prev)
-        self._drop_partitions(state_path, lambda b: b > lo or b >= window_ids[0])
-        versions = list_partitions(self.spark, global_path, BATCH_ID)
-        keep_from = versions[-cfg.keep_versions] if len(versions) >= cfg.keep_versions else -1
-        self._drop_partitions(global_path, lambda b: b >= keep_from)
+        if not tumbling:
+            self._drop_partitions(panes_path, lambda b: b > lo or b >= window_ids[0])
 
     # --- running --------------------------------------------------------------
     def start(self) -> StreamingQuery:

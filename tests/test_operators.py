@@ -91,3 +91,19 @@ def test_bounded_broadcast_only_below_the_bound(spark):
     small = region_lookup(spark, SMALL)
     assert "broadcast" in str(bounded_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(bounded_broadcast(small, 3)._jdf.queryExecution().logical()).lower()
+
+
+def test_grouping_sets_partials_equal_separate_partials(spark):
+    from dataclasses import replace
+    from streammetrics.operators.metrics import combined_partials, merge_combined, split_partial
+    recs = achievements(spark, SMALL)
+    twin = replace(MEDALS_BY_YEAR, id="gold_by_year",
+                   predicate=lambda: F.col("year").isNotNull() & (F.lower("medal") == "gold"))
+    metrics = (*METRICS, twin)                 # two metrics share the key set (year)
+    combined = combined_partials(recs, metrics)
+    for m in metrics:
+        assert rows(split_partial(combined, metrics, m)) == rows(m.partial(recs)), m.id
+    doubled = merge_combined(combined.unionByName(combined), metrics)
+    for m in metrics:
+        want = m.partial(recs).select(*m.keys, (F.col("count") * 2).alias("count"))
+        assert rows(split_partial(doubled, metrics, m)) == rows(want), m.id
