@@ -122,14 +122,17 @@ def parse_columns(value: Column, schema: T.StructType = EVENT_SCHEMA, *,
     return cols, ok
 
 
-def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
-                column: str = "value", delimiter: str = DEFAULT_DELIMITER,
-                quote: str = DEFAULT_QUOTE, mode: str = "DROPMALFORMED",
-                null_value: str = DEFAULT_NULL) -> DataFrame:
-    """Lines → typed records (batch or streaming).
+OK = "__ok"
 
-    ``mode`` is case-insensitive, one of DROPMALFORMED (default) and FAILFAST;
-    other modes and unsupported field types are refused before any job runs.
+
+def flag_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
+               column: str = "value", delimiter: str = DEFAULT_DELIMITER,
+               quote: str = DEFAULT_QUOTE, mode: str = "DROPMALFORMED",
+               null_value: str = DEFAULT_NULL) -> DataFrame:
+    """Every line as ``__ok`` + the typed fields, in one projection.
+
+    Fields of a line whose ``__ok`` is false are meaningless. In FAILFAST mode
+    evaluating ``__ok`` of a malformed line fails the job with the line.
     """
     m = mode.upper()
     if m not in MODES:
@@ -140,20 +143,31 @@ def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
                                             delimiter=delimiter, quote=quote).alias("__f"))
     cols, ok = parse_columns(F.col("__line"), schema, delimiter=delimiter, quote=quote,
                              null_value=null_value, fields=F.col("__f"))
+    if m == "FAILFAST":
+        ok = F.when(ok, F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("Malformed line: <"), F.col("__line"), F.lit(">"))))
+    return src.select(ok.alias(OK), *cols)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
+                column: str = "value", delimiter: str = DEFAULT_DELIMITER,
+                quote: str = DEFAULT_QUOTE, mode: str = "DROPMALFORMED",
+                null_value: str = DEFAULT_NULL) -> DataFrame:
+    """Lines → typed records (batch or streaming).
+
+    ``mode`` is case-insensitive, one of DROPMALFORMED (default) and FAILFAST;
+    other modes and unsupported field types are refused before any job runs.
+    """
+    typed = flag_lines(lines, schema, column=column, delimiter=delimiter, quote=quote,
+                       mode=mode, null_value=null_value)
     # One projection computes the flag and the typed fields (sharing the split
     # fields and casts), then each line yields an array of zero or one record
     # that ``inline`` expands. A generator rather than a filter: a filter would
     # be pushed below the projection with the split inlined into every check.
-    names = schema.fieldNames()
-    typed = src.select("__line", ok.alias("__ok"), *cols)
-    one = F.array(F.struct(*[F.col(n) for n in names]))
-    if m == "DROPMALFORMED":
-        rec = F.when(F.col("__ok"), one)
-    else:
-        # The error sits in the generator's input, so pruning can't remove it.
-        rec = F.when(F.col("__ok"), one).otherwise(
-            F.raise_error(F.concat(F.lit("Malformed line: <"), F.col("__line"), F.lit(">"))))
-    return typed.select(F.inline(rec))
+    # In FAILFAST mode the flag raises, and it sits in the generator's input, so
+    # pruning can't remove it.
+    one = F.array(F.struct(*[F.col(n) for n in schema.fieldNames()]))
+    return typed.select(F.inline(F.when(F.col(OK), one)))
 
 
 def malformed_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,

@@ -73,21 +73,37 @@ def _grouping_ids(metrics: Sequence[Metric]) -> tuple[list[str], dict[str, int]]
     return cols, gid
 
 
-def combined_partials(records: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+ROWS = "_rows"
+VALID = "_valid"
+
+
+def combined_partials(records: DataFrame, metrics: Sequence[Metric],
+                      valid: Column | None = None) -> DataFrame:
     """All metrics' partial counts in one aggregation (GROUPING SETS).
 
     Each record is read once; the grouping sets are the metrics' key sets and
-    each metric counts only the records its predicate keeps. The result holds,
-    per grouping set, the keys and one ``count_<id>`` column per metric; use
-    ``split_partial`` to take out one metric's partial.
+    each metric counts only the records its predicate keeps (and, when given,
+    only rows where ``valid`` is true). The result holds, per grouping set, the
+    keys and one ``count_<id>`` column per metric — use ``split_partial`` to take
+    out one metric's partial — plus ``_rows`` / ``_valid`` row counts.
     """
     cols, _ = _grouping_ids(metrics)
     unique = list(dict.fromkeys(tuple(m.keys) for m in metrics))
     sets = [[F.col(k) for k in keys] for keys in unique]
-    aggs = [F.count_if(F.coalesce(m.predicate(), F.lit(False))).alias(f"{COUNT}_{m.id}")
+    ok = F.lit(True) if valid is None else valid
+    aggs = [F.count_if(ok & F.coalesce(m.predicate(), F.lit(False))).alias(f"{COUNT}_{m.id}")
             for m in metrics]
     return (records.groupingSets(sets, *cols)
-            .agg(F.grouping_id(*cols).alias(GROUPING), *aggs))
+            .agg(F.grouping_id(*cols).alias(GROUPING), *aggs,
+                 F.count(F.lit(1)).alias(ROWS), F.count_if(ok).alias(VALID)))
+
+
+def row_counts(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """(rows, valid) of the input of ``combined_partials`` — from one grouping set."""
+    _, gid = _grouping_ids(metrics)
+    return (combined.where(F.col(GROUPING) == gid[metrics[0].id])
+            .agg(F.coalesce(F.sum(ROWS), F.lit(0)).cast("bigint").alias("rows"),
+                 F.coalesce(F.sum(VALID), F.lit(0)).cast("bigint").alias("valid")))
 
 
 def merge_combined(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
@@ -95,7 +111,8 @@ def merge_combined(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
     cols, _ = _grouping_ids(metrics)
     return (combined.groupBy(GROUPING, *cols)
             .agg(*[F.sum(f"{COUNT}_{m.id}").cast("bigint").alias(f"{COUNT}_{m.id}")
-                   for m in metrics]))
+                   for m in metrics],
+                 F.sum(ROWS).cast("bigint").alias(ROWS), F.sum(VALID).cast("bigint").alias(VALID)))
 
 
 def split_partial(combined: DataFrame, metrics: Sequence[Metric], metric: Metric) -> DataFrame:

@@ -27,14 +27,15 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.lines import parse_lines
+from ..functions.lines import OK, flag_lines
 from ..functions.stamps import STAMP, stamp_folder, stamp_literal
-from ..operators.metrics import METRICS, Metric, combined_partials, merge_combined, split_partial
+from ..operators.metrics import (METRICS, Metric, combined_partials, merge_combined, row_counts,
+                                 split_partial)
 from ..session import delete, exists, list_partitions
 from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
 from ..sources.files import read_stream
@@ -160,21 +161,18 @@ class MetricsJob:
         cfg = self.cfg
         if cfg.partitions:
             lines = lines.coalesce(cfg.partitions)
-        # One pass over the batch: parse, then every metric's partial counts in a
-        # single grouping-sets aggregate. Only that small result is cached; the
-        # line and record counts come from observations of the same job.
-        seen = Observation(f"lines_{batch_id}")
-        kept = Observation(f"records_{batch_id}")
-        records = parse_lines(lines.observe(seen, F.count(F.lit(1)).alias("n")),
-                              mode=cfg.parse_mode)
-        records = records.observe(kept, F.count(F.lit(1)).alias("n"))
-        combined = combined_partials(records, cfg.metrics).persist(StorageLevel.MEMORY_AND_DISK)
+        # One pass over the batch: every line is split and typed once, and one
+        # grouping-sets aggregate yields every metric's partial counts plus the
+        # line and record counts (malformed lines count as lines only). Only that
+        # small result is cached.
+        flagged = flag_lines(lines, mode=cfg.parse_mode)
+        combined = combined_partials(flagged, cfg.metrics, valid=F.col(OK))
+        combined = combined.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            combined.count()
-            n_lines = seen.get.get("n", 0)
+            n_lines, n_records = row_counts(combined, cfg.metrics).first()
             if n_lines == 0:       # raw lines: a window of malformed lines is not empty
                 return
-            stamp = self._stamp(batch_id, n_lines, kept.get.get("n", 0))
+            stamp = self._stamp(batch_id, n_lines, n_records)
             self._recover(batch_id, stamp)
             window_ids = self._window_batches(batch_id, stamp)
             folder = stamp_folder(stamp)
