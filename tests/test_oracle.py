@@ -26,3 +26,15 @@ def test_entry_runs(spark):
     df = entry.entry(spark)
     assert df.columns == ["year", "region", "count", "region_rank"]
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["event_time_sliding", "sliding_pane_window", "stamped_output",
+                                  "running_totals_by_pane"])
+def test_results_do_not_depend_on_the_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        problems, _, _ = compare(spark, duck, name, entry.queries()[name], entry.oracle_sql()[name], SMALL)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert not problems, problems
