@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.lines import encode_lines, parse_lines
 from ..functions.stamps import with_stamp
 from ..session import scratch_path
-from ..sinks.writers import write_lines
-from ..sources.files import read_delimited, read_lines, read_regions
+from ..sources.feed import write_feed
+from ..sources.files import read_lines
 from ..operators import eventtime, panes
 from ..operators.enrich import enrich
 from ..operators.metrics import (MEDALS_BY_YEAR, TOP_10_CITIES, TOP_10_COUNTRIES_PER_YEAR,
@@ -111,9 +111,8 @@ def feed_lines_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{base}/events")
     region_lookup(spark, sf_dir).write.option("header", "true").option("nullValue", "").csv(
         f"{base}/regions")
-    joined = enrich(read_delimited(spark, f"{base}/events"), read_regions(spark, f"{base}/regions"))
-    write_lines(joined, f"{base}/lines", EVENT_COLUMNS, null_as_empty=True, header=True)
-    return read_lines(spark, f"{base}/lines", header=",".join(EVENT_COLUMNS))
+    out = write_feed(spark, f"{base}/events", f"{base}/regions", f"{base}/lines", header=True)
+    return read_lines(spark, out, header=",".join(EVENT_COLUMNS))
 
 
 def top_regions_from_files(spark, sf_dir):

@@ -46,11 +46,17 @@ def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def write_lines(records: DataFrame, path: str, columns=None, *, null_as_empty: bool = False,
-                header: bool = False, mode: str = "overwrite") -> None:
-    """Records → text files of delimited lines (the queue / directory feed)."""
+                header: bool = False, mode: str = "overwrite",
+                max_lines_per_file: int | None = None) -> None:
+    """Records → text files of delimited lines (the queue / directory feed).
+
+    ``max_lines_per_file`` bounds the size of each written file."""
     lines = encode_lines(records, columns, null_as_empty=null_as_empty)
     if header:
         names = ",".join(columns or records.columns)
         spark = records.sparkSession
         lines = spark.createDataFrame([(names,)], "value string").unionByName(lines)
-    lines.write.mode(mode).text(path)
+    w = lines.write.mode(mode)
+    if max_lines_per_file:
+        w = w.option("maxRecordsPerFile", max_lines_per_file)
+    w.text(path)

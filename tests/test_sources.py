@@ -69,3 +69,21 @@ def test_folder_names():
     from datetime import datetime, timezone
     assert stamp_folder(datetime(2020, 3, 4, 5, 6, 7, tzinfo=timezone.utc)) == "20200304T050607"
     assert batch_folder(7) == "000007"
+
+
+def test_feed_joins_files_and_writes_parseable_lines(spark):
+    from streammetrics.functions.lines import parse_lines
+    from streammetrics.sources.feed import write_feed
+    ev = scratch_path(spark, "feed-events")
+    rg = scratch_path(spark, "feed-regions")
+    head = "ID,Name,Sex,Age,Height,Weight,Team,NOC,Games,Year,Season,City,Sport,Event,Medal"
+    _write(ev, head + "\n"
+           '1,"A, B",M,24,180,80.5,T,AAA,1992 Summer,1992,Summer,Barcelona,S,E,Gold\n'
+           "2,C,F,NA,NA,NA,T,ZZZ,1992 Summer,1992,Summer,Barcelona,S,E,NA\n")
+    _write(rg, "NOC,region,notes\nAAA,Aland,\nAAA,Aland Two,x\n")
+    out = write_feed(spark, ev, rg, scratch_path(spark, "feed-out"), header=True)
+    recs = parse_lines(spark.read.text(out)).collect()       # header line is dropped
+    got = sorted((r.id, r.name, r.age, r.weight, r.medal, r.region, r.notes) for r in recs)
+    assert got == [("1", "A, B", 24, 80.5, "Gold", "Aland", ""),
+                   ("1", "A, B", 24, 80.5, "Gold", "Aland Two", "x"),
+                   ("2", "C", None, None, None, "", "")]       # unmatched → "" after the round trip
