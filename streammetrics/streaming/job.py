@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import OK, flag_lines
-from ..functions.stamps import STAMP, stamp_folder, stamp_literal
+from ..functions.stamps import STAMP, batch_folder, stamp_folder, stamp_literal
 from ..operators.metrics import (METRICS, Metric, combined_partials, merge_combined, row_counts,
                                  split_partial)
 from ..session import delete, exists, list_partitions
@@ -175,7 +175,7 @@ class MetricsJob:
             stamp = self._stamp(batch_id, n_lines, n_records)
             self._recover(batch_id, stamp)
             window_ids = self._window_batches(batch_id, stamp)
-            folder = stamp_folder(stamp)
+            folder = f"{stamp_folder(stamp)}-{batch_folder(batch_id)}"   # unique per batch
             stamp_col = stamp_literal(stamp)
             self._batch_outputs(combined, batch_id, stamp_col, folder, window_ids)
         finally:

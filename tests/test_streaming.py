@@ -174,6 +174,14 @@ def test_sliding_window_sums_the_last_panes(spark, feed):
     assert len(dumps) == len(files)
 
 
+def test_dump_folders_are_unique_per_batch_with_one_clock_second(spark, feed):
+    path, files, _ = feed
+    job, cfg = _job(spark, path, clock=lambda b: T0)          # every batch in the same second
+    job.run()
+    dumps = os.listdir(local_path(f"{cfg.output_dir}/dumps"))
+    assert len(dumps) == len(files)
+
+
 def test_stamps_are_shared_and_recorded(spark, feed):
     path, files, _ = feed
     job, cfg = _job(spark, path)
