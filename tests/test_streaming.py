@@ -195,6 +195,31 @@ def test_stamps_are_shared_and_recorded(spark, feed):
     assert a == b and len(a) == len(files)
 
 
+def test_failfast_job_stops_on_a_malformed_line(spark, feed):
+    path, _, _ = feed
+    base = scratch_path(spark, "failfast")
+    cfg = JobConfig(10, 10, 0, f"{base}/ckpt", f"{base}/out", source_path=path,
+                    parse_mode="FAILFAST", available_now=True)
+    with pytest.raises(Exception, match="Malformed line"):
+        MetricsJob(spark, cfg, clock=sim_clock(10)).run()
+
+
+def test_partition_caps_keep_results(spark, feed):
+    path, files, lines = feed
+    base = scratch_path(spark, "capped")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    cfg = JobConfig(10, 10, 0, f"{base}/ckpt", f"{base}/out", source_path=path,
+                    source_options={"maxFilesPerTrigger": "2"}, partitions=2, available_now=True)
+    try:
+        MetricsJob(spark, cfg, clock=sim_clock(10)).run()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "2"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    want = _batch_globals(spark, lines)["top_10_cities"]
+    got = read_global(spark, cfg.output_dir, "top_10_cities").drop("timestamp")
+    assert _rows(got) == _rows(want)
+
+
 def test_cli_requires_four_arguments(capsys):
     assert main(["10", "10", "1"]) == 1
     assert "ERROR" in capsys.readouterr().err
