@@ -35,11 +35,14 @@ def build_session(master: str | None = None, app: str = "streammetrics",
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local runs and tests) a fresh local folder is created and registered.
+    The cluster names it in ``spark.checkpoint.dir``; only when that is unset in
+    a local session (tests, development) a fresh local folder is created and
+    registered. A cluster session without the setting is an error.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="streammetrics-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:
