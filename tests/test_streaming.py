@@ -175,11 +175,25 @@ def test_sliding_window_sums_the_last_panes(spark, feed):
 
 
 def test_dump_folders_are_unique_per_batch_with_one_clock_second(spark, feed):
-    path, files, _ = feed
-    job, cfg = _job(spark, path, clock=lambda b: T0)          # every batch in the same second
-    job.run()
-    dumps = os.listdir(local_path(f"{cfg.output_dir}/dumps"))
+    path, files, lines = feed
+    # an added metric needs no change in the job (registry extension)
+    from dataclasses import replace
+    twin = replace(MEDALS_BY_YEAR, id="gold_by_year",
+                   predicate=lambda: F.col("year").isNotNull() & (F.lower("medal") == "gold"))
+    base = scratch_path(spark, "job")
+    cfg = JobConfig(10, 10, 0, f"{base}/ckpt", f"{base}/out", source_path=path,
+                    source_options={"maxFilesPerTrigger": "1"}, available_now=True,
+                    metrics=(*METRICS, twin))
+    MetricsJob(spark, cfg, clock=lambda b: T0).run()          # every batch in the same second
+    dumps = sorted(os.listdir(local_path(f"{cfg.output_dir}/dumps")))
     assert len(dumps) == len(files)
+    # dumps: no header, no stamp, sorted by count for the city list
+    city_dump = spark.read.csv(f"{cfg.output_dir}/dumps/{dumps[-1]}/top_10_cities",
+                               schema="city string, count long")
+    assert "timestamp" not in city_dump.columns and city_dump.where("city = 'city'").count() == 0
+    recs = parse_lines(lines)
+    got = read_global(spark, cfg.output_dir, "gold_by_year").drop("timestamp")
+    assert _rows(got) == _rows(twin.global_result(twin.partial(recs)))
 
 
 def test_stamps_are_shared_and_recorded(spark, feed):
