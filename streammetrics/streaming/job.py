@@ -1,15 +1,18 @@
 """The continuous metrics job: lines stream → per-window and running results.
 
-Each micro-batch is one slide of arrivals (a *pane*). For every metric the
-batch writes its pane partial, then derives
+Each micro-batch is one slide of arrivals (a *pane*). The batch is parsed
+once and one grouping-sets aggregate gives every metric's partial counts (plus
+line and record counts). From these partials the batch derives, for all metrics
+at once,
 
 * the window result: the sum of the pane partials whose stamp lies in
-  (t − window, t] — each record counted once per window it falls in;
+  (t − window, t] — each record counted once per window it falls in (a
+  tumbling window is the batch itself, so no pane table is kept);
 * the running totals: the previous totals snapshot plus the partials of the
   batches since — each record counted once overall;
 
-and writes a CSV dump and an append table (per window) and a versioned global
-table. Everything is keyed by ``batch_id``: a batch that runs again after a
+and writes, per metric, a CSV dump and an append table (per window) and a
+versioned global table. Everything is keyed by ``batch_id``: a batch that runs again after a
 failure reuses its stamp and overwrites only its own partitions, so results
 stay exact. State lives in tables under the output folder, never in the
 driver, and the stable checkpoint lets a restarted job continue.
