@@ -36,13 +36,18 @@ def feed_records(spark: SparkSession, events_path: str, regions_path: str) -> Da
 
 
 def write_feed(spark: SparkSession, events_path: str, regions_path: str, out_dir: str, *,
-               header: bool = False, max_lines_per_file: int | None = None) -> str:
+               header: bool = False, max_lines_per_file: int | None = None,
+               limit: int | None = None) -> str:
     """Write the feed's lines into a new sub-folder of ``out_dir``; returns it.
 
     Nulls from unmatched joins are written as empty fields (the feed's form).
+    ``limit`` keeps only that many records (a short development feed).
     """
     target = f"{out_dir.rstrip('/')}/feed-{uuid.uuid4().hex[:12]}"
-    write_lines(feed_records(spark, events_path, regions_path), target, EVENT_COLUMNS,
+    records = feed_records(spark, events_path, regions_path)
+    if limit is not None:
+        records = records.limit(limit)
+    write_lines(records, target, EVENT_COLUMNS,
                 null_as_empty=True, header=header, max_lines_per_file=max_lines_per_file)
     return target
 
@@ -54,10 +59,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("out_dir", help="folder the metrics job reads")
     ap.add_argument("--header", action="store_true", help="also write the header line")
     ap.add_argument("--max-lines-per-file", type=int)
+    ap.add_argument("--limit", type=int, help="write only this many records (development)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("streammetrics-feed").getOrCreate()
     print(write_feed(spark, args.events, args.regions, args.out_dir, header=args.header,
-                     max_lines_per_file=args.max_lines_per_file))
+                     max_lines_per_file=args.max_lines_per_file, limit=args.limit))
     return 0
 
 

@@ -135,6 +135,13 @@ def test_custom_delimiter_quote_and_null(spark):
     assert rows == [("a", None, "b"), ("x;y", 1, None)]
 
 
+def test_tab_delimiter_and_non_ascii_text(spark):
+    sch = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.IntegerType())])
+    df = _lines(spark, ["Zürich\t1", '"東京\tx"\t2', "a,b\t3", "bad\t4\t5"])
+    rows = sorted(tuple(r) for r in parse_lines(df, sch, delimiter="\t").collect())
+    assert rows == [("Zürich", 1), ("a,b", 3), ("東京\tx", 2)]
+
+
 def test_pattern_is_possessive():
     p = structure_pattern(3)
     assert "*+" in p and "++" in p and p.startswith("\\A") and p.endswith("\\z")

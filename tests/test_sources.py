@@ -84,6 +84,8 @@ def test_feed_joins_files_and_writes_parseable_lines(spark):
     out = write_feed(spark, ev, rg, scratch_path(spark, "feed-out"), header=True)
     recs = parse_lines(spark.read.text(out)).collect()       # header line is dropped
     got = sorted((r.id, r.name, r.age, r.weight, r.medal, r.region, r.notes) for r in recs)
+    short = write_feed(spark, ev, rg, scratch_path(spark, "feed-out"), limit=1)
+    assert spark.read.text(short).count() == 1
     assert got == [("1", "A, B", 24, 80.5, "Gold", "Aland", ""),
                    ("1", "A, B", 24, 80.5, "Gold", "Aland Two", "x"),
                    ("2", "C", None, None, None, "", "")]       # unmatched → "" after the round trip
