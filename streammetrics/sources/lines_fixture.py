@@ -52,8 +52,11 @@ def variant_lines(records: DataFrame) -> DataFrame:
         for num, val in field_variants.get(c, []):
             expr = (F.when(k == num, val) if expr is None else expr.when(k == num, val))
         fields[c] = s[c] if expr is None else expr.otherwise(s[c])
-    line = _line(fields)
-    first = F.col("id")  # digits only, never quoted
+    # The line is encoded once in its own projection; the line-level variants
+    # below then only rewrite that column.
+    base = records.select(k.alias(VARIANT), F.col("id"), _line(fields).alias("_line"),
+                          F.when(k == 15, _line(s, quote_all=True)).alias("_quoted"))
+    k, line, first = F.col(VARIANT), F.col("_line"), F.col("id")   # id: digits only, never quoted
     rest = F.substring(line, F.length(first) + 1, 1 << 30)
     value = (
         F.when(k == 0, F.regexp_replace(line, ",[^,]*$", ""))                     # 16 fields
@@ -63,6 +66,6 @@ def variant_lines(records: DataFrame) -> DataFrame:
          .when(k == 9, F.lit(""))                                                 # blank line
          .when(k == 10, F.lit(",".join(EVENT_COLUMNS)))                           # header line
          .when(k == 14, F.concat(F.lit('"'), first, F.lit('"'), rest))           # quoted id
-         .when(k == 15, _line(s, quote_all=True))                                 # all quoted, "NA"
+         .when(k == 15, F.col("_quoted"))                                         # all quoted, "NA"
          .otherwise(line))
-    return records.select(k.alias(VARIANT), value.alias("value"))
+    return base.select(k, value.alias("value"))
