@@ -37,8 +37,10 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "p
 def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Newest version of a table written with ``write_batch_partition``.
 
-    Readers never see a half-written overwrite: an older version stays
-    readable until the newer partition has been completely written.
+    An older version stays readable while a newer partition is being written;
+    where directory renames are atomic (HDFS, local disks) a reader never sees
+    a half-written version, and on object stores the retained older versions
+    give readers a complete fallback.
     """
     df = spark.read.format(fmt).load(path)
     newest = df.agg(F.max(BATCH_ID).alias("m"))
