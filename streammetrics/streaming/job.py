@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -213,8 +214,9 @@ class MetricsJob:
         write_batch_partition(merge_combined(parts, metrics), totals_path, batch_id)
         totals = self._read_batches(totals_path, [batch_id], schema)
 
-        # 3. per metric: window dump + stamped append, global result (versioned)
-        for metric in metrics:
+        # 3. per metric: window dump + stamped append, global result (versioned).
+        #    The metrics' outputs are independent jobs, submitted concurrently.
+        def outputs(metric: Metric) -> None:
             local = split_partial(window, metrics, metric)
             order = metric.order()
             write_dump(local.orderBy(*order) if order else local,
@@ -230,6 +232,10 @@ class MetricsJob:
             keep_from = versions[-cfg.keep_versions] if len(versions) >= cfg.keep_versions else -1
             self._drop_partitions(global_path, lambda b: b >= keep_from)
 
+        with ThreadPoolExecutor(max_workers=max(1, len(metrics))) as pool:
+            for f in [pool.submit(outputs, m) for m in metrics]:
+                f.result()
+
         # 4. retention: what is folded into the snapshot and out of the window goes;
         #    the snapshot a rerun of this batch would start from stays.
         self._drop_partitions(totals_path, lambda b: prev is None or b >= prev)
