@@ -91,6 +91,10 @@ def combined_partials(records: DataFrame, metrics: Sequence[Metric],
     unique = list(dict.fromkeys(tuple(m.keys) for m in metrics))
     sets = [[F.col(k) for k in keys] for keys in unique]
     ok = F.lit(True) if valid is None else valid
+    if valid is not None:
+        # Keys of invalid rows are meaningless: fold them into the null keys so
+        # that malformed input can't create groups.
+        records = records.withColumns({c: F.when(valid, F.col(c)) for c in cols})
     aggs = [F.count_if(ok & F.coalesce(m.predicate(), F.lit(False))).alias(f"{COUNT}_{m.id}")
             for m in metrics]
     return (records.groupingSets(sets, *cols)
@@ -115,6 +119,15 @@ def merge_combined(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
                  F.sum(ROWS).cast("bigint").alias(ROWS), F.sum(VALID).cast("bigint").alias(VALID)))
 
 
+def nonzero(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
+    """Drop groups in which no metric counted anything (they add nothing to a merge)."""
+    cond = None
+    for m in metrics:
+        c = F.coalesce(F.col(f"{COUNT}_{m.id}"), F.lit(0)) > 0
+        cond = c if cond is None else cond | c
+    return combined.where(cond)
+
+
 def split_partial(combined: DataFrame, metrics: Sequence[Metric], metric: Metric) -> DataFrame:
     """One metric's partial (keys…, count) from ``combined_partials``."""
     _, gid = _grouping_ids(metrics)

@@ -38,8 +38,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import OK, flag_lines
 from ..functions.stamps import STAMP, batch_folder, stamp_folder, stamp_literal
-from ..operators.metrics import (METRICS, Metric, combined_partials, merge_combined, row_counts,
-                                 split_partial)
+from ..operators.metrics import (METRICS, Metric, combined_partials, merge_combined, nonzero,
+                                 row_counts, split_partial)
 from ..session import delete, exists, list_partitions
 from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
 from ..sources.files import read_stream
@@ -198,7 +198,7 @@ class MetricsJob:
         if tumbling:
             window = combined
         else:
-            write_batch_partition(combined, panes_path, batch_id)
+            write_batch_partition(nonzero(combined, metrics), panes_path, batch_id)
             window = merge_combined(self._read_batches(panes_path, window_ids, schema), metrics)
 
         # 2. running totals = previous snapshot + partials since (one table for all metrics)
@@ -211,7 +211,7 @@ class MetricsJob:
             parts = self._read_batches(panes_path, since, schema)
         if prev is not None:
             parts = parts.unionByName(self._read_batches(totals_path, [prev], schema))
-        write_batch_partition(merge_combined(parts, metrics), totals_path, batch_id)
+        write_batch_partition(nonzero(merge_combined(parts, metrics), metrics), totals_path, batch_id)
         totals = self._read_batches(totals_path, [batch_id], schema)
 
         # 3. per metric: window dump + stamped append, global result (versioned).

@@ -107,3 +107,20 @@ def test_grouping_sets_partials_equal_separate_partials(spark):
     for m in metrics:
         want = m.partial(recs).select(*m.keys, (F.col("count") * 2).alias("count"))
         assert rows(split_partial(doubled, metrics, m)) == rows(want), m.id
+
+
+def test_malformed_lines_create_no_groups(spark):
+    from streammetrics.functions.lines import OK, encode_lines, flag_lines
+    from streammetrics.operators.metrics import combined_partials, nonzero
+    recs = achievements(spark, SMALL)
+    good = encode_lines(recs)
+    # garbage lines with many distinct "city" values in the right position but broken ages
+    bad = encode_lines(recs.withColumn("age", F.lit(None)).withColumn(
+        "city", F.concat(F.lit("junk-"), F.col("id")))).select(
+        F.regexp_replace("value", ",NA,", ",x,").alias("value"))
+    flagged = flag_lines(good.unionByName(bad))
+    combined = combined_partials(flagged, METRICS, valid=F.col(OK))
+    cities = {r.city for r in nonzero(combined, METRICS).collect() if r.city is not None}
+    assert not any(c.startswith("junk-") for c in cities)
+    clean = combined_partials(flag_lines(good), METRICS, valid=F.col(OK))
+    assert nonzero(combined, METRICS).count() == nonzero(clean, METRICS).count()
