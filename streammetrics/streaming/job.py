@@ -201,22 +201,9 @@ class MetricsJob:
             write_batch_partition(nonzero(combined, metrics), panes_path, batch_id)
             window = merge_combined(self._read_batches(panes_path, window_ids, schema), metrics)
 
-        # 2. running totals = previous snapshot + partials since (one table for all metrics)
-        prev = self._previous_totals(totals_path, batch_id)
-        lo = prev if prev is not None else -1
-        if tumbling:
-            parts = combined
-        else:
-            since = [b for b in list_partitions(self.spark, panes_path, BATCH_ID) if lo < b <= batch_id]
-            parts = self._read_batches(panes_path, since, schema)
-        if prev is not None:
-            parts = parts.unionByName(self._read_batches(totals_path, [prev], schema))
-        write_batch_partition(nonzero(merge_combined(parts, metrics), metrics), totals_path, batch_id)
-        totals = self._read_batches(totals_path, [batch_id], schema)
-
-        # 3. per metric: window dump + stamped append, global result (versioned).
-        #    The metrics' outputs are independent jobs, submitted concurrently.
-        def outputs(metric: Metric) -> None:
+        # 2. per metric: window dump + stamped append. These are independent small
+        #    jobs; they run concurrently with each other and with step 3.
+        def window_outputs(metric: Metric) -> None:
             local = split_partial(window, metrics, metric)
             order = metric.order()
             write_dump(local.orderBy(*order) if order else local,
@@ -224,6 +211,8 @@ class MetricsJob:
             write_batch_partition(local.withColumn(STAMP, stamp_col),
                                   self._p("tables", metric.id), batch_id,
                                   cfg.table_format, cfg.table_options)
+
+        def global_output(metric: Metric, totals: DataFrame) -> None:
             global_path = self._p("tables", f"{metric.id}_global")
             result = metric.finish(split_partial(totals, metrics, metric))
             write_batch_partition(result.withColumn(STAMP, stamp_col), global_path, batch_id,
@@ -232,8 +221,26 @@ class MetricsJob:
             keep_from = versions[-cfg.keep_versions] if len(versions) >= cfg.keep_versions else -1
             self._drop_partitions(global_path, lambda b: b >= keep_from)
 
-        with ThreadPoolExecutor(max_workers=max(1, len(metrics))) as pool:
-            for f in [pool.submit(outputs, m) for m in metrics]:
+        with ThreadPoolExecutor(max_workers=2 * len(metrics)) as pool:
+            futures = [pool.submit(window_outputs, m) for m in metrics]
+
+            # 3. running totals = previous snapshot + partials since (one table for
+            #    all metrics), then each metric's global result (versioned)
+            prev = self._previous_totals(totals_path, batch_id)
+            lo = prev if prev is not None else -1
+            if tumbling:
+                parts = combined
+            else:
+                since = [b for b in list_partitions(self.spark, panes_path, BATCH_ID)
+                         if lo < b <= batch_id]
+                parts = self._read_batches(panes_path, since, schema)
+            if prev is not None:
+                parts = parts.unionByName(self._read_batches(totals_path, [prev], schema))
+            write_batch_partition(nonzero(merge_combined(parts, metrics), metrics), totals_path,
+                                  batch_id)
+            totals = self._read_batches(totals_path, [batch_id], schema)
+            futures += [pool.submit(global_output, m, totals) for m in metrics]
+            for f in futures:
                 f.result()
 
         # 4. retention: what is folded into the snapshot and out of the window goes;
