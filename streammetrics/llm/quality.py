@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from streammetrics.llm.common import PieceCache, hash64, id_remainder, labelled, mix64, per_text, table
 
-BITS = 18
+BITS = 16
 TRAIN_DOCS = 8000     # expected number of labelled documents learned from
 SHARDS = 4
 PASSES = 3
@@ -118,14 +118,14 @@ def train(rows: DataFrame) -> np.ndarray:
                 return pd.DataFrame({"shard": pdf["shard"].iloc[0], "i": at, "z": model.z[at] - z0[at],
                                      "n": model.n[at] - n0[at]})
 
-            # at most SHARDS * 2**BITS rows
+            # each shard's moves are averaged by Spark: at most 2**BITS rows reach the driver
             moved = (rows.groupBy("shard").applyInPandas(fit, "shard int, i long, z double, n double")
-                     .toPandas().sort_values(["shard", "i"]))
-            if not len(moved):
+                     .groupBy("i").agg(F.sum("z").alias("z"), F.sum("n").alias("n")).toArrow())
+            if not moved.num_rows:
                 break
-            shards = moved["shard"].nunique()
-            np.add.at(z, moved["i"].to_numpy(), moved["z"].to_numpy() / shards)
-            np.add.at(n, moved["i"].to_numpy(), moved["n"].to_numpy() / shards)
+            at = moved["i"].to_numpy()
+            z[at] += moved["z"].to_numpy() / SHARDS
+            n[at] += moved["n"].to_numpy() / SHARDS
     finally:
         rows.unpersist()
     return Ftrl.weights(z, n)
