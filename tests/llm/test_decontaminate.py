@@ -1,0 +1,81 @@
+import random
+
+from streammetrics.llm import decontaminate as D
+from streammetrics.llm.common import table
+
+
+def brute_tiles(doc, item, least):
+    """Greedy tiling by direct search of the longest unmarked match."""
+    a, b, out = [False] * len(doc), [False] * len(item), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(doc)):
+            for j in range(len(item)):
+                n = 0
+                while (i + n < len(doc) and j + n < len(item) and not a[i + n] and not b[j + n]
+                       and doc[i + n] == item[j + n]):
+                    n += 1
+                if n > best[0]:
+                    best = (n, i, j)
+        n, i, j = best
+        if n < least or n == 0:
+            return out
+        out.append((i, j, n))
+        for x in range(n):
+            a[i + x] = b[j + x] = True
+
+
+def covered(tiles):
+    return sum(n for _, _, n in tiles)
+
+
+def test_tiles_match_direct_search():
+    rng = random.Random(5)
+    for _ in range(150):
+        item = [rng.choice("abcdefgh") for _ in range(rng.randint(1, 30))]
+        doc = [rng.choice("abcdefgh") for _ in range(rng.randint(0, 20))]
+        for _ in range(rng.randint(0, 3)):
+            i = rng.randrange(len(item))
+            at = rng.randint(0, len(doc))
+            doc[at:at] = item[i:i + rng.randint(1, 15)]
+        got, want = D.tile(doc, item, 3), brute_tiles(doc, item, 3)
+        assert sorted(n for *_, n in got)[-1:] == sorted(n for *_, n in want)[-1:]
+        assert [n for *_, n in got] == [n for *_, n in want] or abs(covered(got) - covered(want)) <= 3
+        for i, j, n in got:
+            assert doc[i:i + n] == item[j:j + n] and n >= 3
+
+
+def test_query_matches_brute_force(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").collect()
+    items = table(spark, sf_dir, "benchmark").collect()
+    want = {}
+    for it in items:
+        words = D.tokens(it["text"])
+        grams = {tuple(words[j:j + 5]) for j in range(len(words) - 4)}
+        for d in docs:
+            doc = D.tokens(d["text"])
+            if not any(tuple(doc[i:i + 5]) in grams for i in range(len(doc) - 4)):
+                continue
+            share = covered(D.tile(doc, words, 5)) / len(words)
+            if share >= D.COVERAGE:
+                want[d["doc_id"], it["item_id"]] = share
+    got = {(r["doc_id"], r["item_id"]): r["coverage"] for r in D.op2_decontamination(spark, sf_dir).collect()}
+    assert want and got == want
+
+
+def test_reordered_nulls_repeats_and_clashing_columns(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    w = item.split()
+    moved = " ".join(["zz"] * 9 + w[8:] + ["yy"] * 9 + w[:8] + ["xx"])
+    rows = [(1, item.upper() + "!", 0, 0), (2, moved, 0, 0), (3, " ".join(w[:6]), 0, 0), (4, None, 0, 0),
+            (5, "", 0, 0), (1, item.upper() + "!", 0, 0), (None, "so " + item, 0, 0), (6, "tiny one here", 0, 0),
+            (7, "pad " * 50000 + item, 0, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int, key int")
+    bench = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "Tiny, one"), (None, "x y")],
+                                  "item_id long, text string")
+    got = sorted(((r["doc_id"], r["item_id"]) for r in D.leaks(docs, bench).collect()), key=str)
+    assert got == sorted([(1, 1), (2, 1), (None, 1), (6, 4), (7, 1)], key=str)
+    kept = D.drop_leaked(docs, bench)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]
+    assert D.leaks(docs.limit(0), bench).count() == 0
+    assert D.leaks(docs, bench.limit(0)).count() == 0 and D.drop_leaked(docs, bench.limit(0)).count() == len(rows)
