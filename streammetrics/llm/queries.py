@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from streammetrics.llm import decontaminate, language_id, packing, quality, simhash, toxicity
+from streammetrics.llm import decontaminate, language_id, packing, pii, quality, simhash, toxicity
 
-_MODULES = (decontaminate, language_id, simhash, packing, toxicity, quality)
+_MODULES = (decontaminate, language_id, simhash, packing, toxicity, pii, quality)
 
 LLM_QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 LLM_ORACLE_SQL = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE_SQL", {}).items()}
