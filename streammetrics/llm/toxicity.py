@@ -12,9 +12,11 @@ with weights calibrated on the training documents.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -188,6 +190,20 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return per_text(docs, None, "score double, predicted int", id_col, text_col, "", setup)
 
 
+def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``threshold``; rows and columns stay as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        features, w = shared.value.features(), shared.value.weights
+        bar = np.log(threshold / (1 - threshold))
+        for texts in batches:
+            yield texts.map(lambda t: bool(features(t or "") @ w < bar)).astype(bool)
+
+    return docs.filter(clean(text_col))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(labelled(spark, sf_dir, "toxic", TRAIN_DOCS))
     return score(table(spark, sf_dir, "documents"), model).select(

@@ -1,0 +1,68 @@
+import re
+
+import numpy as np
+import pytest
+
+from streammetrics.llm import toxicity as T
+from streammetrics.llm.common import table
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return T.train(rows(spark, 400))
+
+
+def rows(spark, n):
+    """Ordinary words; the even documents also have words that begin with 'vrok'."""
+    rng = np.random.default_rng(4)
+    plain = ["".join(rng.choice(list("abcdefgilmnoprstu"), int(rng.integers(2, 9)))) for _ in range(300)]
+    out = []
+    for d in range(n):
+        w = list(rng.choice(plain, int(rng.integers(20, 200))))
+        if d % 2 == 0:
+            for k in range(4):
+                w.insert(int(rng.integers(len(w))), "vrok" + plain[(d + k) % 300])
+        out.append((d, " ".join(w), int(d % 2 == 0)))
+    return spark.createDataFrame(out, "doc_id long, text string, label int")
+
+
+def test_learns_a_stem_and_separates(spark, model):
+    assert any(s.startswith(" vrok") for s in re.findall(" [^ ]+", model.toxic.decode()))
+    docs = rows(spark, 100)
+    got = {r["doc_id"]: r for r in T.score(docs, model).collect()}
+    assert all((got[r["doc_id"]]["predicted"] == 1) == (r["label"] == 1) for r in docs.collect())
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    assert {r["doc_id"] for r in T.keep_clean(docs, model).collect()} == {d for d, r in got.items() if r["predicted"] == 0}
+
+
+def test_gains_count_bytes_saved(model):
+    gain = model.gain()
+    assert gain("vrokabc")[0] >= 2 and gain("zzqqxx")[0] == 0
+
+
+def test_without_labels_nothing_is_known(spark):
+    m = T.train(rows(spark, 4).filter("label = 1"))
+    assert [r["score"] for r in T.score(rows(spark, 3), m).collect()] == [0.5] * 3
+    assert T.train(rows(spark, 2).limit(0)).weights.any() == False  # noqa: E712
+
+
+def test_nulls_repeats_long_and_clashing_columns(spark, model):
+    data = [(1, None, 9.0), (2, "", 9.0), (2, "", 9.0), (None, "plain", 9.0), (3, "vrokab " * 50_000, 9.0)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, score double")
+    got = T.score(docs, model).collect()
+    by = {(r["doc_id"], r["predicted"]) for r in got}
+    assert len(got) == 5 and (3, 1) in by and (1, 0) in by and (2, 0) in by
+    kept = T.keep_clean(docs, model)
+    assert kept.columns == docs.columns and kept.count() == 4
+    assert T.score(docs.limit(0), model).count() == 0
+
+
+def test_query_separates_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["toxic"] for r in table(spark, sf, "labels").collect()}
+    got = [r for r in T.op7_toxicity(spark, sf).collect()]
+    assert len(got) == table(spark, sf, "documents").count()
+    held = [(labels[r["doc_id"]], r["score"]) for r in got if r["held_out"] and r["doc_id"] in labels]
+    pos, neg = [s for y, s in held if y], [s for y, s in held if not y]
+    if pos and neg:
+        assert np.mean([[p > n for n in neg] for p in pos]) > 0.75
