@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from streammetrics.llm import decontaminate, language_id, licenses, packing, pii, quality, simhash, toxicity
+from streammetrics.llm import (decontaminate, language_id, licenses, packing, pii, quality, secrets, simhash,
+                               topk, toxicity)
 
-_MODULES = (decontaminate, language_id, simhash, packing, toxicity, licenses, pii, quality)
+_MODULES = (topk, decontaminate, language_id, secrets, simhash, packing, toxicity, licenses, pii, quality)
 
 LLM_QUERIES = {name: q for m in _MODULES for name, q in m.QUERIES.items()}
 LLM_ORACLE_SQL = {name: sql for m in _MODULES for name, sql in getattr(m, "ORACLE_SQL", {}).items()}
