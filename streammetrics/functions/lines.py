@@ -59,6 +59,10 @@ def _jre(ch: str) -> str:
     return "\\x{%x}" % ord(ch)
 
 
+# The guard is one regular expression over all fields; far wider schemas overflow its matcher's stack.
+MAX_FIELDS = 500
+
+
 def structure_pattern(n_fields: int, delimiter: str = DEFAULT_DELIMITER,
                       quote: str = DEFAULT_QUOTE) -> str:
     """Java regex matching exactly the well-formed lines with ``n_fields`` fields.
@@ -69,6 +73,8 @@ def structure_pattern(n_fields: int, delimiter: str = DEFAULT_DELIMITER,
     """
     if delimiter == quote:
         raise ValueError("delimiter and quote must differ")
+    if not 1 <= n_fields <= MAX_FIELDS:
+        raise ValueError(f"between 1 and {MAX_FIELDS} fields are supported, got {n_fields}")
     d, q = _jre(delimiter), _jre(quote)
     field = f'(?:{q}(?:[^{q}]++|{q}{q})*+{q}|[^{d}{q}][^{d}]*+|)'
     return rf"\A{field}(?:{d}{field}){{{n_fields - 1}}}\z"
@@ -82,7 +88,11 @@ def _java_float_ok(s: Column) -> Column:
 
 def split_fields(value: Column, n_fields: int, *, delimiter: str = DEFAULT_DELIMITER,
                  quote: str = DEFAULT_QUOTE) -> Column:
-    """Struct ``_c0 … _c{n-1}`` of the unquoted field texts (null = empty plain field)."""
+    """Struct ``_c0 … _c{n-1}`` of the unquoted field texts (null = empty plain field).
+
+    The splitter fails a job on a line with more columns than it can hold, so pass it
+    only lines that match ``structure_pattern`` (null for any other).
+    """
     raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n_fields)])
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": _SENTINEL,
             "maxCharsPerColumn": "-1", "ignoreLeadingWhiteSpace": "false",
@@ -93,15 +103,20 @@ def split_fields(value: Column, n_fields: int, *, delimiter: str = DEFAULT_DELIM
 def parse_columns(value: Column, schema: T.StructType = EVENT_SCHEMA, *,
                   delimiter: str = DEFAULT_DELIMITER, quote: str = DEFAULT_QUOTE,
                   null_value: str = DEFAULT_NULL,
-                  fields: Column | None = None) -> tuple[list[Column], Column]:
+                  fields: Column | None = None, right: Column | None = None) -> tuple[list[Column], Column]:
     """Typed field columns and a well-formedness flag for a line column.
 
-    ``fields`` may pass an already computed ``split_fields`` struct.
+    ``fields`` and ``right`` may pass an already computed ``split_fields`` struct and
+    structure check.
     """
     check_supported(schema)
     n = len(schema.fields)
-    parsed = fields if fields is not None else split_fields(value, n, delimiter=delimiter, quote=quote)
-    ok = F.coalesce(value.rlike(structure_pattern(n, delimiter, quote)), F.lit(False))
+    if right is None:
+        right = F.coalesce(value.rlike(structure_pattern(n, delimiter, quote)), F.lit(False))
+    parsed = fields
+    if parsed is None:
+        parsed = split_fields(F.when(right, value), n, delimiter=delimiter, quote=quote)
+    ok = right
     cols: list[Column] = []
     for i, f in enumerate(schema.fields):
         text = F.coalesce(parsed.getField(f"_c{i}"), F.lit(""))
@@ -128,25 +143,28 @@ OK = "__ok"
 def flag_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
                column: str = "value", delimiter: str = DEFAULT_DELIMITER,
                quote: str = DEFAULT_QUOTE, mode: str = "DROPMALFORMED",
-               null_value: str = DEFAULT_NULL) -> DataFrame:
+               null_value: str = DEFAULT_NULL, keep_line: bool = False) -> DataFrame:
     """Every line as ``__ok`` + the typed fields, in one projection.
 
     Fields of a line whose ``__ok`` is false are meaningless. In FAILFAST mode
     evaluating ``__ok`` of a malformed line fails the job with the line.
+    ``keep_line`` adds the line itself as ``__line``.
     """
     m = mode.upper()
     if m not in MODES:
         raise ValueError(f'Unknown parse mode: "{mode}"')
     check_supported(schema)
-    src = lines.select(F.col(column).alias("__line"))
-    src = src.select("__line", split_fields(F.col("__line"), len(schema.fields),
-                                            delimiter=delimiter, quote=quote).alias("__f"))
+    n = len(schema.fields)
+    right = F.coalesce(F.col(column).rlike(structure_pattern(n, delimiter, quote)), F.lit(False))
+    src = lines.select(F.col(column).alias("__line"), right.alias("__right"))
+    src = src.select("__line", "__right", split_fields(F.when(F.col("__right"), F.col("__line")), n,
+                                                       delimiter=delimiter, quote=quote).alias("__f"))
     cols, ok = parse_columns(F.col("__line"), schema, delimiter=delimiter, quote=quote,
-                             null_value=null_value, fields=F.col("__f"))
+                             null_value=null_value, fields=F.col("__f"), right=F.col("__right"))
     if m == "FAILFAST":
         ok = F.when(ok, F.lit(True)).otherwise(
             F.raise_error(F.concat(F.lit("Malformed line: <"), F.col("__line"), F.lit(">"))))
-    return src.select(ok.alias(OK), *cols)
+    return src.select(ok.alias(OK), *cols, *([F.col("__line")] if keep_line else []))
 
 
 def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
@@ -173,10 +191,10 @@ def parse_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
 def malformed_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
                     column: str = "value", delimiter: str = DEFAULT_DELIMITER,
                     quote: str = DEFAULT_QUOTE, null_value: str = DEFAULT_NULL) -> DataFrame:
-    """The lines that DROPMALFORMED would drop (for diagnostics)."""
-    _, ok = parse_columns(F.col(column), schema, delimiter=delimiter, quote=quote,
-                          null_value=null_value)
-    return lines.where(~ok)
+    """The lines that DROPMALFORMED would drop (for diagnostics), in ``column``; each line is split once."""
+    flagged = flag_lines(lines, schema, column=column, delimiter=delimiter, quote=quote,
+                         null_value=null_value, keep_line=True)
+    return flagged.select(F.inline(F.when(~F.col(OK), F.array(F.struct(F.col("__line").alias(column))))))
 
 
 def encode_lines(records: DataFrame, columns: list[str] | tuple[str, ...] | None = None, *,

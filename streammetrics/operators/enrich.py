@@ -6,24 +6,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from ..plans.hints import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 from ..schema import LOOKUP_KEY
 
 
-def enrich(records: DataFrame, lookup: DataFrame, key: str = LOOKUP_KEY,
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-           check_size: bool = True) -> DataFrame:
+def enrich(records: DataFrame, lookup: DataFrame, key: str = LOOKUP_KEY) -> DataFrame:
     """Left join ``records`` with ``lookup`` on ``key``.
 
     Output keeps the records' columns in order, then the lookup's other
     columns. Unmatched records get nulls; a key repeated in the lookup repeats
-    the record. The lookup is broadcast only when its row count is within
-    ``max_broadcast_rows`` — the big side is then never shuffled, which also
-    makes a hot key harmless. Beyond the bound the join falls back to a
-    sort-merge join, where AQE splits skewed partitions of the left side.
-    ``check_size=False`` leaves the choice to Spark's own estimate (for
-    streaming inputs, where an extra action isn't possible).
+    the record. No hint is set: Spark broadcasts a lookup whose bytes are below
+    ``spark.sql.autoBroadcastJoinThreshold`` (by estimate or, with AQE, as measured), so
+    the records aren't shuffled; a larger one gets a sort-merge join in which AQE splits
+    skewed partitions of the records. Works on batch and streaming records.
     """
     extra: Sequence[str] = [c for c in lookup.columns if c != key]
-    right = bounded_broadcast(lookup, max_broadcast_rows) if check_size else lookup
-    return records.join(right, on=key, how="left").select(*records.columns, *extra)
+    return records.join(lookup, on=key, how="left").select(*records.columns, *extra)

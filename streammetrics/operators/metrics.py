@@ -81,9 +81,10 @@ def combined_partials(records: DataFrame, metrics: Sequence[Metric],
                       valid: Column | None = None) -> DataFrame:
     """All metrics' partial counts in one aggregation (GROUPING SETS).
 
-    Each record is read once; the grouping sets are the metrics' key sets and
-    each metric counts only the records its predicate keeps (and, when given,
-    only rows where ``valid`` is true). The result holds, per grouping set, the
+    Each record is read once and counted by the union of all keys; only that smaller
+    result is rolled up to the grouping sets, which are the metrics' key sets. Each metric
+    counts only the records its predicate keeps (and, when given, only rows where ``valid``
+    is true). The result holds, per grouping set, the
     keys and one ``count_<id>`` column per metric — use ``split_partial`` to take
     out one metric's partial — plus ``_rows`` / ``_valid`` row counts.
     """
@@ -95,11 +96,12 @@ def combined_partials(records: DataFrame, metrics: Sequence[Metric],
         # Keys of invalid rows are meaningless: fold them into the null keys so
         # that malformed input can't create groups.
         records = records.withColumns({c: F.when(valid, F.col(c)) for c in cols})
-    aggs = [F.count_if(ok & F.coalesce(m.predicate(), F.lit(False))).alias(f"{COUNT}_{m.id}")
-            for m in metrics]
-    return (records.groupingSets(sets, *cols)
-            .agg(F.grouping_id(*cols).alias(GROUPING), *aggs,
-                 F.count(F.lit(1)).alias(ROWS), F.count_if(ok).alias(VALID)))
+    kept = {f"{COUNT}_{m.id}": ok & F.coalesce(m.predicate(), F.lit(False)) for m in metrics}
+    counted = records.groupBy(*cols).agg(*[F.count_if(c).alias(name) for name, c in kept.items()],
+                                         F.count(F.lit(1)).alias(ROWS), F.count_if(ok).alias(VALID))
+    return (counted.groupingSets(sets, *cols)
+            .agg(F.grouping_id(*cols).alias(GROUPING),
+                 *[F.sum(name).cast("bigint").alias(name) for name in (*kept, ROWS, VALID)]))
 
 
 def row_counts(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:

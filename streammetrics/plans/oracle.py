@@ -133,6 +133,22 @@ WHERE region_rank <= 10
 # The streaming job over the message lines must end with the same totals as
 # one batch over the accepted lines.
 ORACLE_SQL["stream_medals_by_year"] = ORACLE_SQL["medals_by_year_from_lines"]
+ORACLE_SQL["stream_top_cities"] = f"""
+SELECT city, CAST(COUNT(*) AS BIGINT) AS count
+FROM ({_ACCEPTED}) a WHERE city IS NOT NULL AND medal IS NOT NULL GROUP BY city
+ORDER BY count DESC, city ASC LIMIT 10
+"""
+ORACLE_SQL["stream_batch_counts"] = _ACH + f"""
+SELECT CAST(orderkey % 4 AS BIGINT) AS batch_id, CAST(COUNT(*) AS BIGINT) AS lines,
+       CAST(COUNT(*) FILTER (WHERE {_VARIANT} > 10) AS BIGINT) AS records
+FROM ach GROUP BY 1
+"""
+ORACLE_SQL["stream_sliding_window"] = _ACH + f"""
+SELECT CAST(b AS BIGINT) AS batch_id, year, CAST(COUNT(*) AS BIGINT) AS count
+FROM ach JOIN (SELECT unnest(range(0, 4)) AS b) w ON orderkey % 4 IN (b - 1, b)
+WHERE {_VARIANT} > 10 AND year IS NOT NULL AND medal IS NOT NULL GROUP BY 1, 2
+"""
+ORACLE_SQL["stream_from_feed"] = ORACLE_SQL["top_regions_from_files"]
 ORACLE_SQL["stream_top_regions"] = f"""
 SELECT year, region, count, CAST(region_rank AS INTEGER) AS region_rank
 FROM (SELECT year, region, count,

@@ -1,7 +1,7 @@
 """Named batch queries over the fixture tables, one per operator group.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. ``streammetrics.streaming.queries`` adds the streaming ones.
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables, lazy but for ``top_regions_from_files``, whose files are the point. ``streammetrics.streaming.queries`` adds the streaming ones.
 """
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions.lines import encode_lines, parse_lines
 from ..functions.stamps import with_stamp
-from ..session import scratch_path
+from ..session import delete, scratch_path
 from ..sources.feed import write_feed
 from ..sources.files import read_lines
 from ..operators import eventtime, panes
 from ..operators.enrich import enrich
 from ..operators.metrics import (MEDALS_BY_YEAR, TOP_10_CITIES, TOP_10_COUNTRIES_PER_YEAR,
                                  top_regions_unmerged)
-from ..schema import EVENT_COLUMNS, SOURCE_COLUMNS
+from ..schema import EVENT_COLUMNS
 from ..sources.lines_fixture import variant_lines
 from ..sources.tables import achievements, region_lookup, source_events
 
@@ -35,13 +35,17 @@ EVENT_SLIDING_WINDOW = "14 days"
 FIXED_STAMP = datetime(2020, 1, 1, 12, 0, 0)
 
 
+def _records(spark: SparkSession, sf_dir: str, metric, with_ts: bool = False) -> DataFrame:
+    return achievements(spark, sf_dir, with_ts=with_ts, columns=(*metric.keys, "medal"))
+
+
 def _pane_partials(spark: SparkSession, sf_dir: str, metric) -> DataFrame:
-    recs = achievements(spark, sf_dir, with_ts=True)
+    recs = _records(spark, sf_dir, metric, with_ts=True)
     return panes.pane_partials(recs, metric, panes.month_pane(F.col("ts")))
 
 
 def medals_by_year_window(spark, sf_dir):
-    return MEDALS_BY_YEAR.local(achievements(spark, sf_dir))
+    return MEDALS_BY_YEAR.local(_records(spark, sf_dir, MEDALS_BY_YEAR))
 
 
 def medals_by_year_global(spark, sf_dir):
@@ -49,7 +53,7 @@ def medals_by_year_global(spark, sf_dir):
 
 
 def cities_window(spark, sf_dir):
-    return TOP_10_CITIES.local(achievements(spark, sf_dir))
+    return TOP_10_CITIES.local(_records(spark, sf_dir, TOP_10_CITIES))
 
 
 def top_10_cities_global(spark, sf_dir):
@@ -57,7 +61,7 @@ def top_10_cities_global(spark, sf_dir):
 
 
 def gold_by_year_region(spark, sf_dir):
-    return TOP_10_COUNTRIES_PER_YEAR.local(achievements(spark, sf_dir))
+    return TOP_10_COUNTRIES_PER_YEAR.local(_records(spark, sf_dir, TOP_10_COUNTRIES_PER_YEAR))
 
 
 def top_10_regions_per_year(spark, sf_dir):
@@ -74,23 +78,13 @@ def enrich_left_join(spark, sf_dir):
     return enrich(source_events(spark, sf_dir), region_lookup(spark, sf_dir))
 
 
-def _through_files(spark: SparkSession, lines: DataFrame, name: str) -> DataFrame:
-    """Write lines as the feed does and read them back: a text directory in the
-    shared work folder. This is also where the plan is cut."""
-    path = scratch_path(spark, name)
-    lines.write.text(path)
-    return read_lines(spark, path)
-
-
 def lines_round_trip(spark, sf_dir):
-    lines = encode_lines(achievements(spark, sf_dir), EVENT_COLUMNS)
-    return parse_lines(_through_files(spark, lines, "round-trip-lines"), mode="FAILFAST")
+    return parse_lines(encode_lines(achievements(spark, sf_dir), EVENT_COLUMNS), mode="FAILFAST")
 
 
 def message_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The record table as written message lines, malformed variants included."""
-    lines = variant_lines(achievements(spark, sf_dir, with_keys=True)).select("value")
-    return _through_files(spark, lines, "message-lines")
+    """The record table as message lines, malformed variants included (lazy)."""
+    return variant_lines(achievements(spark, sf_dir, with_keys=True)).select("value", "orderkey")
 
 
 def lines_malformed_dropped(spark, sf_dir):
@@ -101,23 +95,29 @@ def medals_by_year_from_lines(spark, sf_dir):
     return MEDALS_BY_YEAR.local(parse_lines(message_lines(spark, sf_dir)))
 
 
-def feed_lines_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed's path: an events file and a regions file (both with a header),
-    read as plain strings, left-joined on the country code and written as lines
-    with nulls as empty fields, header line first."""
-    base = scratch_path(spark, "feed")
-    events = achievements(spark, sf_dir).select(*SOURCE_COLUMNS)
+def feed_sources(spark: SparkSession, sf_dir: str, base: str, chosen=None) -> tuple[str, str]:
+    """Write the feed's two input files, events and regions, both with a header; returns their paths."""
+    events = source_events(spark, sf_dir)
+    if chosen is not None:
+        events = events.where(chosen)
     events.write.option("header", "true").option("nullValue", "NA").option("escape", '"').csv(
         f"{base}/events")
     region_lookup(spark, sf_dir).write.option("header", "true").option("nullValue", "").csv(
         f"{base}/regions")
-    out = write_feed(spark, f"{base}/events", f"{base}/regions", f"{base}/lines", header=True)
-    return read_lines(spark, out, header=",".join(EVENT_COLUMNS))
+    return f"{base}/events", f"{base}/regions"
 
 
 def top_regions_from_files(spark, sf_dir):
-    records = parse_lines(feed_lines_from_files(spark, sf_dir))
-    return TOP_10_COUNTRIES_PER_YEAR.global_result(TOP_10_COUNTRIES_PER_YEAR.partial(records))
+    """The feed's path: both files are read as plain strings, left-joined on the country
+    code and written as lines with nulls as empty fields, header line first; the lines are
+    read and counted. Only the counts stay, the copies are deleted."""
+    base = scratch_path(spark, "feed")
+    out = write_feed(spark, *feed_sources(spark, sf_dir, base), f"{base}/lines", header=True)
+    records = parse_lines(read_lines(spark, out, header=",".join(EVENT_COLUMNS)))
+    counts = f"{scratch_path(spark, 'feed-counts')}"
+    TOP_10_COUNTRIES_PER_YEAR.partial(records).write.parquet(counts)
+    delete(spark, base)
+    return TOP_10_COUNTRIES_PER_YEAR.global_result(spark.read.parquet(counts))
 
 
 def running_totals_by_pane(spark, sf_dir):
@@ -130,17 +130,17 @@ def sliding_pane_window(spark, sf_dir):
 
 
 def event_time_tumbling(spark, sf_dir):
-    return eventtime.tumbling_counts(achievements(spark, sf_dir, with_ts=True),
+    return eventtime.tumbling_counts(_records(spark, sf_dir, MEDALS_BY_YEAR, with_ts=True),
                                      MEDALS_BY_YEAR, "ts", EVENT_WINDOW)
 
 
 def event_time_sliding(spark, sf_dir):
-    return eventtime.sliding_counts(achievements(spark, sf_dir, with_ts=True),
+    return eventtime.sliding_counts(_records(spark, sf_dir, MEDALS_BY_YEAR, with_ts=True),
                                     MEDALS_BY_YEAR, "ts", EVENT_SLIDING_WINDOW, EVENT_SLIDE)
 
 
 def stamped_output(spark, sf_dir):
-    return with_stamp(MEDALS_BY_YEAR.local(achievements(spark, sf_dir)), FIXED_STAMP)
+    return with_stamp(MEDALS_BY_YEAR.local(_records(spark, sf_dir, MEDALS_BY_YEAR)), FIXED_STAMP)
 
 
 BATCH_QUERIES: dict[str, Query] = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -78,6 +79,16 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def set_arrival(spark: SparkSession, folders: list[str]) -> None:
+    """Give the files of each folder a modification time one second after the folder before,
+    the order in which a file stream takes them."""
+    start = int(time.time() * 1000) - 1000 * len(folders)
+    for k, folder in enumerate(folders):
+        fs, p = _fs(spark, folder)
+        for st in fs.listStatus(p):
+            fs.setTimes(st.getPath(), start + 1000 * k, -1)
+
+
 def list_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
     """Integer values of the ``column=value`` sub-folders of a partitioned table."""
     fs, p = _fs(spark, path)
@@ -95,5 +106,5 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
     return sorted(out)
 
 
-__all__ = ["build_session", "work_dir", "scratch_path", "local_path", "exists", "delete",
+__all__ = ["build_session", "set_arrival", "work_dir", "scratch_path", "local_path", "exists", "delete",
            "list_partitions"]

@@ -11,10 +11,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.lines import encode_lines
+from ..session import exists
 
 BATCH_ID = "batch_id"
+FILE_FORMATS = ("parquet", "orc", "csv", "json", "avro", "text")
 
 
 def write_dump(df: DataFrame, path: str) -> None:
@@ -34,15 +37,54 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int, fmt: str = "p
     w.save(path)
 
 
-def read_latest(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def append_table(df: DataFrame, table: str, batch_id: int, fmt: str = "parquet",
+                 options: Mapping[str, str] | None = None) -> None:
+    """Append one batch's rows to a catalog table, created when it isn't there.
+
+    The table keeps all batches. A file-based table is partitioned by batch id and a retried batch
+    replaces its own partition; any other is appended to unless it already has rows of the batch.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+    if not spark.catalog.tableExists(table):
+        w = rows.write.format(fmt).partitionBy(BATCH_ID)
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.saveAsTable(table)
+    elif fmt in FILE_FORMATS:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH_ID} = {batch_id}) "
+                  f"SELECT {', '.join(f'`{c}`' for c in df.columns)} FROM {{rows}}", rows=df)
+    elif spark.table(table).where(F.col(BATCH_ID) == batch_id).isEmpty():
+        rows.writeTo(table).append()
+
+
+def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet",
+                    options: Mapping[str, str] | None = None) -> None:
+    """Replace a catalog table's contents."""
+    w = df.write.format(fmt).mode("overwrite")
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    w.saveAsTable(table)
+
+
+def read_latest(spark: SparkSession, path: str, fmt: str = "parquet",
+                schema: StructType | None = None) -> DataFrame:
     """Newest version of a table written with ``write_batch_partition``.
 
+    With the table's ``schema`` (without the batch id) a table that has no rows or files yet
+    reads as an empty one.
+
     An older version stays readable while a newer partition is being written;
     where directory renames are atomic (HDFS, local disks) a reader never sees
     a half-written version, and on object stores the retained older versions
     give readers a complete fallback.
     """
-    df = spark.read.format(fmt).load(path)
+    r = spark.read.format(fmt)
+    if schema is not None:
+        if not exists(spark, path):
+            return spark.createDataFrame([], schema)
+        r = r.schema(StructType([*schema.fields, StructField(BATCH_ID, LongType())]))
+    df = r.load(path)
     newest = df.agg(F.max(BATCH_ID).alias("m"))
     return df.join(F.broadcast(newest), df[BATCH_ID] == newest["m"]).drop("m", BATCH_ID)
 

@@ -3,9 +3,9 @@
 A Spark job: both delimited files are read as plain strings (no null
 detection), the events are left-joined with the regions on the country code,
 and every record is written as one delimited line into a folder that the
-metrics job reads as its stream. Files are written under a fresh sub-folder
-and the stream source only picks up complete files, so a feed run is
-all-or-nothing for the reader.
+metrics job reads as its stream: point the job's source path at OUT_DIR. Runs
+append files with names of their own, so a later run adds to the stream, and a
+file shows up only when its task has committed.
 
 Usage: ``python -m streammetrics.sources.feed EVENTS REGIONS OUT_DIR [--header]``
 """
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,19 +35,14 @@ def feed_records(spark: SparkSession, events_path: str, regions_path: str) -> Da
 
 
 def write_feed(spark: SparkSession, events_path: str, regions_path: str, out_dir: str, *,
-               header: bool = False, max_lines_per_file: int | None = None,
-               limit: int | None = None) -> str:
-    """Write the feed's lines into a new sub-folder of ``out_dir``; returns it.
+               header: bool = False, max_lines_per_file: int | None = None) -> str:
+    """Append the feed's lines to ``out_dir`` as new files; returns the folder.
 
     Nulls from unmatched joins are written as empty fields (the feed's form).
-    ``limit`` keeps only that many records (a short development feed).
     """
-    target = f"{out_dir.rstrip('/')}/feed-{uuid.uuid4().hex[:12]}"
-    records = feed_records(spark, events_path, regions_path)
-    if limit is not None:
-        records = records.limit(limit)
-    write_lines(records, target, EVENT_COLUMNS,
-                null_as_empty=True, header=header, max_lines_per_file=max_lines_per_file)
+    target = out_dir.rstrip("/")
+    write_lines(feed_records(spark, events_path, regions_path), target, EVENT_COLUMNS, null_as_empty=True,
+                header=header, mode="append", max_lines_per_file=max_lines_per_file)
     return target
 
 
@@ -59,11 +53,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("out_dir", help="folder the metrics job reads")
     ap.add_argument("--header", action="store_true", help="also write the header line")
     ap.add_argument("--max-lines-per-file", type=int)
-    ap.add_argument("--limit", type=int, help="write only this many records (development)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("streammetrics-feed").getOrCreate()
     print(write_feed(spark, args.events, args.regions, args.out_dir, header=args.header,
-                     max_lines_per_file=args.max_lines_per_file, limit=args.limit))
+                     max_lines_per_file=args.max_lines_per_file))
     return 0
 
 

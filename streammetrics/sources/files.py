@@ -39,15 +39,12 @@ def read_regions(spark: SparkSession, path: str, *, sep: str = ",") -> DataFrame
     return read_delimited(spark, path, LOOKUP_COLUMNS, sep=sep)
 
 
-def read_lines(spark: SparkSession, path: str, header: str | None = None,
-               limit: int | None = None) -> DataFrame:
-    """One row per line in ``value``. ``header`` drops lines equal to it;
-    ``limit`` keeps the first lines only (development runs)."""
+def read_lines(spark: SparkSession, path: str, header: str | None = None) -> DataFrame:
+    """One row per line in ``value``. ``header`` drops lines equal to it. A development
+    run takes ``.limit(n)`` of the result."""
     df = spark.read.text(path)
     if header is not None:
         df = df.where(F.col("value") != F.lit(header))
-    if limit is not None:
-        df = df.limit(limit)
     return df
 
 

@@ -28,7 +28,7 @@ def _line(fields: dict[str, Column], quote_all: bool = False,
 
 
 def variant_lines(records: DataFrame) -> DataFrame:
-    """``records`` (17 columns + orderkey, linenumber) → (variant, value).
+    """``records`` (17 columns + orderkey, linenumber) → (variant, orderkey, value).
 
     Field-level variants change one field before a single ``to_csv``; line-level
     variants then rewrite that line, so the plan holds two CSV encoders only.
@@ -54,12 +54,14 @@ def variant_lines(records: DataFrame) -> DataFrame:
         fields[c] = s[c] if expr is None else expr.otherwise(s[c])
     # The line is encoded once in its own projection; the line-level variants
     # below then only rewrite that column.
-    base = records.select(k.alias(VARIANT), F.col("id"), _line(fields).alias("_line"),
+    base = records.select(k.alias(VARIANT), F.col("id"), F.col("orderkey"), (F.col("orderkey") % 101 == 0).alias("_huge"),
+                          _line(fields).alias("_line"),
                           F.when(k == 15, _line(s, quote_all=True)).alias("_quoted"))
     k, line, first = F.col(VARIANT), F.col("_line"), F.col("id")   # id: digits only, never quoted
     rest = F.substring(line, F.length(first) + 1, 1 << 30)
     value = (
         F.when(k == 0, F.regexp_replace(line, ",[^,]*$", ""))                     # 16 fields
+         .when((k == 1) & F.col("_huge"), F.concat(line, F.repeat(F.lit(","), 25_000)))  # 25,017 fields
          .when(k == 1, F.concat(line, F.lit(",x")))                               # 18 fields
          .when(k == 7, F.concat(F.lit('"un'), line))                              # unterminated
          .when(k == 8, F.concat(F.lit('"a"b'), rest))                             # text after quote
@@ -68,4 +70,4 @@ def variant_lines(records: DataFrame) -> DataFrame:
          .when(k == 14, F.concat(F.lit('"'), first, F.lit('"'), rest))           # quoted id
          .when(k == 15, F.col("_quoted"))                                         # all quoted, "NA"
          .otherwise(line))
-    return base.select(k, value.alias("value"))
+    return base.select(k, "orderkey", value.alias("value"))

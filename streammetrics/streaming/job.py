@@ -5,9 +5,10 @@ once and one grouping-sets aggregate gives every metric's partial counts (plus
 line and record counts). From these partials the batch derives, for all metrics
 at once,
 
-* the window result: the sum of the pane partials whose stamp lies in
-  (t − window, t] — each record counted once per window it falls in (a
-  tumbling window is the batch itself, so no pane table is kept);
+* the window result: the sum of the pane partials of the last window/slide slides,
+  by slide number (the batch's start time over the slide length) — each record counted
+  once per window it falls in (a tumbling window is the batch itself, so no pane table
+  is kept). Windows of idle slides that still hold a pane come with the next batch;
 * the running totals: the previous totals snapshot plus the partials of the
   batches since — each record counted once overall;
 
@@ -30,7 +31,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,13 +39,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import OK, flag_lines
 from ..functions.stamps import STAMP, batch_folder, stamp_folder, stamp_literal
-from ..operators.metrics import (METRICS, Metric, combined_partials, merge_combined, nonzero,
+from ..operators.metrics import (COUNT, METRICS, Metric, combined_partials, merge_combined, nonzero,
                                  row_counts, split_partial)
-from ..session import delete, exists, list_partitions
-from ..sinks.writers import BATCH_ID, write_batch_partition, write_dump
+from ..session import build_session, delete, exists, list_partitions
+from ..sinks.writers import BATCH_ID, append_table, overwrite_table, read_latest, write_batch_partition, write_dump
+from ..schema import EVENT_SCHEMA
 from ..sources.files import read_stream
 
 BATCHES = "_batches"          # per-batch line and record counts
+RECENT_SCHEMA = T.StructType([T.StructField("pane", T.LongType()), T.StructField("slot", T.LongType())])
+
+
+def _micros(t: datetime) -> int:
+    return (t - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
 
 
 def _from_micros(us: int) -> datetime:
@@ -63,6 +70,8 @@ class JobConfig:
     source_options: Mapping[str, str] = field(default_factory=dict)
     table_format: str = "parquet"
     table_options: Mapping[str, str] = field(default_factory=dict)
+    table_prefix: str | None = None   # catalog tables <prefix><metric>[_global] instead of files under output_dir
+    payload: str = "value"            # source column that holds the message
     parse_mode: str = "DROPMALFORMED"
     partitions: int | None = None     # cap on batch input and shuffle partitions
     available_now: bool = False       # process what is there, then stop (tests, backfills)
@@ -76,6 +85,8 @@ class JobConfig:
             raise ValueError("window length must be a multiple of the slide")
         if self.minutes < 0:
             raise ValueError("minutes must be >= 0")
+        if self.keep_versions < 1:
+            raise ValueError("keep_versions must be >= 1")
 
 
 class MetricsJob:
@@ -85,9 +96,9 @@ class MetricsJob:
                  clock: Callable[[int], datetime] | None = None):
         self.spark = spark
         self.cfg = cfg
-        # Stamp for a new batch; tests pass a simulated clock.
+        # Start time of a batch; tests pass a simulated clock.
         self.clock = clock or (lambda _batch_id: datetime.now(timezone.utc))
-        self._recent: dict[int, datetime] = {}      # batch id → stamp, within one window
+        self._recent: dict[int, int] = {}           # batch id → slot, within one window
         self._recovered = False
 
     # --- paths ----------------------------------------------------------------
@@ -104,8 +115,8 @@ class MetricsJob:
         df = self.spark.read.schema(schema).option("basePath", path).parquet(*paths)
         return df.select(*schema.fieldNames())
 
-    def _stamp(self, batch_id: int, n_lines: int, n_records: int) -> datetime:
-        """One stamp per batch, recorded (with the batch's line and record counts)
+    def _stamp(self, batch_id: int, started: datetime, n_lines: int, n_records: int) -> datetime:
+        """One stamp per batch, the time it began, recorded (with its line and record counts)
         before any output, so that a rerun of the batch reuses it."""
         path = self._p("tables", BATCHES)
         mine = f"{path}/{BATCH_ID}={batch_id}"
@@ -113,43 +124,42 @@ class MetricsJob:
             us = self.spark.read.parquet(mine).select(F.unix_micros(STAMP)).first()
             if us is not None:
                 return _from_micros(us[0])
-        ts = self.clock(batch_id)
         rec = self.spark.range(1).select(
-            stamp_literal(ts).alias(STAMP), F.lit(n_lines).cast("long").alias("lines"),
+            stamp_literal(started).alias(STAMP), F.lit(n_lines).cast("long").alias("lines"),
             F.lit(n_records).cast("long").alias("records"))
         write_batch_partition(rec, path, batch_id)
-        return ts
+        return started
 
-    def _recover(self, batch_id: int, stamp: datetime) -> None:
-        """After a restart: reload the stamps of the batches still in the window,
-        reading batch partitions newest first (stamps grow with batch ids)."""
+    def _slot(self, stamp: datetime) -> int:
+        """The slide a batch belongs to, counted from the epoch: jitter within a slide doesn't matter."""
+        return _micros(stamp) // (self.cfg.slide_seconds * 1_000_000)
+
+    def _recover(self, batch_id: int) -> None:
+        """After a restart: the slots of the panes that the last batch still held in its window.
+        They lie beside the totals snapshot, so no history is listed."""
         if self._recovered:
             return
         self._recovered = True
-        path = self._p("tables", BATCHES)
-        ids = [b for b in list_partitions(self.spark, path, BATCH_ID) if b < batch_id]
-        schema = T.StructType([T.StructField(STAMP, T.TimestampType()),
-                               T.StructField(BATCH_ID, T.LongType())])
-        lo = stamp - timedelta(seconds=self.cfg.window_seconds)
-        step = self.cfg.window_seconds // self.cfg.slide_seconds + 1
-        while ids:       # newest first, until a batch older than the window shows up
-            chunk, ids = ids[-step:], ids[:-step]
-            older = False
-            for b, us in (self._read_batches(path, chunk, schema)
-                          .select(BATCH_ID, F.unix_micros(STAMP)).collect()):
-                ts = _from_micros(us)
-                if ts > lo:
-                    self._recent[b] = ts
-                else:
-                    older = True
-            if older:
-                break
-
-    def _window_batches(self, batch_id: int, stamp: datetime) -> list[int]:
-        lo = stamp - timedelta(seconds=self.cfg.window_seconds)
-        self._recent = {b: t for b, t in self._recent.items() if t > lo and b < batch_id}
-        self._recent[batch_id] = stamp
-        return sorted(self._recent)
+        path = self._p("state", "recent")
+        before = [b for b in list_partitions(self.spark, path, BATCH_ID) if b < batch_id]
+        if before:
+            rows = self._read_batches(path, before[-1:], RECENT_SCHEMA).collect()  # one row per pane of a window
+            self._recent = {r["pane"]: r["slot"] for r in rows}
+
+    def _windows(self, batch_id: int, slot: int) -> list[tuple[int, list[int]]]:
+        """(slot, panes) of the windows due: those of idle slides since the last batch that
+        still hold a pane, then this batch's own. A window holds the panes of its last
+        window/slide slots."""
+        n = self.cfg.window_seconds // self.cfg.slide_seconds
+        before = {b: s for b, s in self._recent.items() if b < batch_id}
+        if before:
+            slot = max(slot, max(before.values()))   # a clock set back doesn't reorder panes
+        due = []
+        last = max(before.values(), default=slot)
+        for t in range(last + 1, min(slot, last + n)):
+            due.append((t, sorted(b for b, s in before.items() if t - n < s <= t)))
+        self._recent = {b: s for b, s in before.items() if s > slot - n} | {batch_id: slot}
+        return [*due, (slot, sorted(self._recent))]
 
     def _previous_totals(self, totals_path: str, batch_id: int) -> int | None:
         older = [b for b in list_partitions(self.spark, totals_path, BATCH_ID) if b < batch_id]
@@ -163,6 +173,7 @@ class MetricsJob:
     # --- one micro-batch ------------------------------------------------------
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
         cfg = self.cfg
+        started = self.clock(batch_id)     # before any work: run time doesn't move a batch to another slide
         if cfg.partitions:
             lines = lines.coalesce(cfg.partitions)
         # One pass over the batch: every line is split and typed once, and one
@@ -176,53 +187,69 @@ class MetricsJob:
             n_lines, n_records = row_counts(combined, cfg.metrics).first()
             if n_lines == 0:       # raw lines: a window of malformed lines is not empty
                 return
-            stamp = self._stamp(batch_id, n_lines, n_records)
-            self._recover(batch_id, stamp)
-            window_ids = self._window_batches(batch_id, stamp)
-            folder = f"{stamp_folder(stamp)}-{batch_folder(batch_id)}"   # unique per batch
-            stamp_col = stamp_literal(stamp)
-            self._batch_outputs(combined, batch_id, stamp_col, folder, window_ids)
+            stamp = self._stamp(batch_id, started, n_lines, n_records)
+            self._recover(batch_id)
+            self._batch_outputs(combined, batch_id, stamp, self._windows(batch_id, self._slot(stamp)))
         finally:
             combined.unpersist()
 
-    def _batch_outputs(self, combined: DataFrame, batch_id: int, stamp_col, folder: str,
-                       window_ids: list[int]) -> None:
+    def _append(self, df: DataFrame, name: str, batch_id: int) -> None:
+        cfg = self.cfg
+        if cfg.table_prefix is None:
+            write_batch_partition(df, self._p("tables", name), batch_id, cfg.table_format, cfg.table_options)
+        else:
+            append_table(df, cfg.table_prefix + name, batch_id, cfg.table_format, cfg.table_options)
+
+    def _batch_outputs(self, combined: DataFrame, batch_id: int, stamp: datetime,
+                       windows: list[tuple[int, list[int]]]) -> None:
         cfg, metrics = self.cfg, self.cfg.metrics
         panes_path = self._p("state", "panes")
         totals_path = self._p("state", "totals")
+        recent_path = self._p("state", "recent")
         schema = combined.schema
         tumbling = cfg.window_seconds == cfg.slide_seconds
 
         # 1. window = merged partials of the panes in the window. A tumbling
-        #    window is this batch alone and needs no pane table.
+        #    window is this batch alone and needs no pane table. The window of an idle
+        #    slide is stamped with the time that its slide began.
         if tumbling:
-            window = combined
+            results = [(stamp, combined)]
         else:
             write_batch_partition(nonzero(combined, metrics), panes_path, batch_id)
-            window = merge_combined(self._read_batches(panes_path, window_ids, schema), metrics)
+            results = [(stamp if k == len(windows) - 1 else _from_micros(slot * cfg.slide_seconds * 1_000_000),
+                        merge_combined(self._read_batches(panes_path, panes, schema), metrics))
+                       for k, (slot, panes) in enumerate(windows)]
 
-        # 2. per metric: window dump + stamped append. These are independent small
+        # 2. per metric: window dumps + stamped append. These are independent small
         #    jobs; they run concurrently with each other and with step 3.
         def window_outputs(metric: Metric) -> None:
-            local = split_partial(window, metrics, metric)
-            order = metric.order()
-            write_dump(local.orderBy(*order) if order else local,
-                       self._p("dumps", folder, metric.id))
-            write_batch_partition(local.withColumn(STAMP, stamp_col),
-                                  self._p("tables", metric.id), batch_id,
-                                  cfg.table_format, cfg.table_options)
+            stamped = None
+            for at, window in results:
+                local = split_partial(window, metrics, metric)
+                order = metric.order()
+                folder = f"{stamp_folder(at)}-{batch_folder(batch_id)}"   # unique per batch and window
+                write_dump(local.orderBy(*order) if order else local, self._p("dumps", folder, metric.id))
+                rows = local.withColumn(STAMP, stamp_literal(at))
+                stamped = rows if stamped is None else stamped.unionByName(rows)
+            self._append(stamped, metric.id, batch_id)
 
         def global_output(metric: Metric, totals: DataFrame) -> None:
-            global_path = self._p("tables", f"{metric.id}_global")
-            result = metric.finish(split_partial(totals, metrics, metric))
-            write_batch_partition(result.withColumn(STAMP, stamp_col), global_path, batch_id,
-                                  cfg.table_format, cfg.table_options)
+            result = metric.finish(split_partial(totals, metrics, metric)).withColumn(STAMP, stamp_literal(stamp))
+            name = f"{metric.id}_global"
+            if cfg.table_prefix is not None:
+                overwrite_table(result, cfg.table_prefix + name, cfg.table_format, cfg.table_options)
+                return
+            global_path = self._p("tables", name)
+            write_batch_partition(result, global_path, batch_id, cfg.table_format, cfg.table_options)
             versions = list_partitions(self.spark, global_path, BATCH_ID)
             keep_from = versions[-cfg.keep_versions] if len(versions) >= cfg.keep_versions else -1
             self._drop_partitions(global_path, lambda b: b >= keep_from)
 
         with ThreadPoolExecutor(max_workers=2 * len(metrics)) as pool:
-            futures = [pool.submit(window_outputs, m) for m in metrics]
+            def submit(f, *args):      # jobs of the pool belong to the stream's job group and end with it
+                return pool.submit(inheritable_thread_target(self.spark)(f), *args)
+
+            futures = [submit(window_outputs, m) for m in metrics]
 
             # 3. running totals = previous snapshot + partials since (one table for
             #    all metrics), then each metric's global result (versioned)
@@ -234,12 +261,14 @@ class MetricsJob:
                 since = [b for b in list_partitions(self.spark, panes_path, BATCH_ID)
                          if lo < b <= batch_id]
                 parts = self._read_batches(panes_path, since, schema)
+                recent = self.spark.createDataFrame(sorted(self._recent.items()), RECENT_SCHEMA)
+                write_batch_partition(recent.coalesce(1), recent_path, batch_id)
             if prev is not None:
                 parts = parts.unionByName(self._read_batches(totals_path, [prev], schema))
             write_batch_partition(nonzero(merge_combined(parts, metrics), metrics), totals_path,
                                   batch_id)
             totals = self._read_batches(totals_path, [batch_id], schema)
-            futures += [pool.submit(global_output, m, totals) for m in metrics]
+            futures += [submit(global_output, m, totals) for m in metrics]
             for f in futures:
                 f.result()
 
@@ -247,21 +276,28 @@ class MetricsJob:
         #    the snapshot a rerun of this batch would start from stays.
         self._drop_partitions(totals_path, lambda b: prev is None or b >= prev)
         if not tumbling:
-            self._drop_partitions(panes_path, lambda b: b > lo or b >= window_ids[0])
+            first = min(p for _, panes in windows for p in panes)
+            self._drop_partitions(recent_path, lambda b: prev is None or b >= prev)
+            self._drop_partitions(panes_path, lambda b: b > lo or b >= first)
 
     # --- running --------------------------------------------------------------
     def start(self) -> StreamingQuery:
         cfg = self.cfg
-        if cfg.partitions:
-            self.spark.conf.set("spark.sql.shuffle.partitions", str(cfg.partitions))
-        lines = read_stream(self.spark, cfg.source_format, cfg.source_path, cfg.source_options)
+        lines = read_stream(self.spark, cfg.source_format, cfg.source_path, cfg.source_options, cfg.payload)
         w = (lines.writeStream.foreachBatch(self.process_batch)
              .option("checkpointLocation", cfg.checkpoint_dir))
         if cfg.available_now:
             w = w.trigger(availableNow=True)
         else:
             w = w.trigger(processingTime=f"{cfg.slide_seconds} seconds")
-        return w.start()
+        key = "spark.sql.shuffle.partitions"
+        before = self.spark.conf.get(key)
+        try:        # a query keeps the settings it is started with
+            if cfg.partitions:
+                self.spark.conf.set(key, str(cfg.partitions))
+            return w.start()
+        finally:
+            self.spark.conf.set(key, before)
 
     def run(self) -> None:
         q = self.start()
@@ -274,11 +310,22 @@ class MetricsJob:
             q.stop()
 
 
-def read_global(spark: SparkSession, output_dir: str, metric_id: str,
+def global_schema(spark: SparkSession, metric: Metric) -> T.StructType:
+    """Columns of a metric's global table."""
+    keys = [EVENT_SCHEMA[k] for k in metric.keys]
+    partial = spark.createDataFrame([], T.StructType([*keys, T.StructField(COUNT, T.LongType())]))
+    return T.StructType([*metric.finish(partial).schema.fields, T.StructField(STAMP, T.TimestampType())])
+
+
+def read_global(spark: SparkSession, output_dir: str, metric: str | Metric,
                 fmt: str = "parquet") -> DataFrame:
-    """Newest global result of a metric (stamp column included)."""
-    from ..sinks.writers import read_latest
-    return read_latest(spark, f"{output_dir.rstrip('/')}/tables/{metric_id}_global", fmt)
+    """Newest global result of a metric (stamp column included); empty before the first record."""
+    if isinstance(metric, str):
+        metric = next((m for m in METRICS if m.id == metric), None)
+        if metric is None:
+            raise KeyError("pass the Metric itself when it is not one of the registry")
+    path = f"{output_dir.rstrip('/')}/tables/{metric.id}_global"
+    return read_latest(spark, path, fmt, global_schema(spark, metric))
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -291,7 +338,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--source-format", default="text")
     ap.add_argument("--source-path")
     ap.add_argument("--source-option", action="append", default=[], metavar="K=V")
+    ap.add_argument("--payload", default="value", help="source column that holds the message")
+    ap.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     ap.add_argument("--table-format", default="parquet")
+    ap.add_argument("--table-option", action="append", default=[], metavar="K=V")
+    ap.add_argument("--table-prefix", help="write catalog tables PREFIX<metric> and PREFIX<metric>_global")
+    ap.add_argument("--keep-versions", type=int, default=3, help="versions kept of a global file table")
     ap.add_argument("--partitions", type=int)
     ap.add_argument("--mode", default="DROPMALFORMED")
     ap.add_argument("--app-name", default="streammetrics")
@@ -305,9 +357,11 @@ def main(argv: list[str] | None = None) -> int:
     cfg = JobConfig(args.window, args.slide, args.minutes, args.checkpoint, args.output,
                     source_format=args.source_format, source_path=args.source_path,
                     source_options=dict(o.split("=", 1) for o in args.source_option),
-                    table_format=args.table_format, parse_mode=args.mode,
-                    partitions=args.partitions)
-    spark = SparkSession.builder.appName(args.app_name).getOrCreate()
+                    table_format=args.table_format, table_prefix=args.table_prefix,
+                    table_options=dict(o.split("=", 1) for o in args.table_option),
+                    keep_versions=args.keep_versions, payload=args.payload,
+                    available_now=args.available_now, parse_mode=args.mode, partitions=args.partitions)
+    spark = build_session(app=args.app_name)
     MetricsJob(spark, cfg).run()
     return 0
 

@@ -1,53 +1,96 @@
 """Streaming queries registered for checks.
 
-Each one writes the message lines derived from the record table as a folder of
-text files, runs the metrics job over it as a stream (several micro-batches,
-``availableNow``), and returns the job's newest global table. The running
-totals must equal one batch aggregate over the accepted lines.
+The message lines derived from the record table are written as a folder of four text files, by
+order key, that arrive one after the other. The metrics job reads them as a stream of four
+micro-batches (``availableNow``) with a fixed clock and windows of two slides. Its running totals
+must equal one batch aggregate over the accepted lines, its windows those of the lines of the last
+two files. ``stream_from_feed`` runs the feed twice into the folder that the job reads.
 """
 
 from __future__ import annotations
 
-import math
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from ..plans.queries import message_lines
-from .job import JobConfig, MetricsJob, read_global
+from ..plans.queries import feed_sources, message_lines
+from ..session import delete, scratch_path, set_arrival
+from ..sources.feed import write_feed
+from .job import BATCHES, JobConfig, MetricsJob, read_global
 
 # Fixed values of the checked runs.
 STREAM_BATCHES = 4
-WINDOW_SECONDS = 10
+WINDOW_SECONDS = 20
 SLIDE_SECONDS = 10
+START = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+_runs: dict[tuple[str, str], str] = {}    # (application, tables) → output folder of the shared run
+
+
+def _clock(batch_id: int) -> datetime:
+    return START + timedelta(seconds=SLIDE_SECONDS * batch_id)
 
 
 def run_on_message_lines(spark: SparkSession, sf_dir: str) -> str:
-    """Run the job over the message lines; returns its output folder."""
-    lines = message_lines(spark, sf_dir)
-    files = lines.inputFiles()
-    src = files[0].rsplit("/", 1)[0]
-    per_batch = max(1, math.ceil(len(files) / STREAM_BATCHES))
-    base = scratch_path(spark, "stream-job")
-    cfg = JobConfig(WINDOW_SECONDS, SLIDE_SECONDS, 0, f"{base}/checkpoint", f"{base}/out",
-                    source_format="text", source_path=src,
-                    source_options={"maxFilesPerTrigger": str(per_batch)},
-                    available_now=True)
-    MetricsJob(spark, cfg).run()
-    return cfg.output_dir
+    """Run the job over the message lines; returns its output folder. The queries below share one run."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _runs:
+        base = scratch_path(spark, "stream-job")
+        lines = message_lines(spark, sf_dir).select("value", F.pmod("orderkey", F.lit(STREAM_BATCHES)).alias("part"))
+        lines.repartition(STREAM_BATCHES, "part").write.partitionBy("part").text(f"{base}/lines")
+        set_arrival(spark, [f"{base}/lines/part={k}" for k in range(STREAM_BATCHES)])
+        cfg = JobConfig(WINDOW_SECONDS, SLIDE_SECONDS, 0, f"{base}/checkpoint", f"{base}/out",
+                        source_path=f"{base}/lines", source_options={"maxFilesPerTrigger": "1"}, available_now=True)
+        MetricsJob(spark, cfg, clock=_clock).run()
+        delete(spark, f"{base}/lines")
+        _runs[key] = cfg.output_dir
+    return _runs[key]
 
 
 def stream_medals_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = run_on_message_lines(spark, sf_dir)
-    return read_global(spark, out, "medals_by_year").drop("timestamp")
+    return read_global(spark, run_on_message_lines(spark, sf_dir), "medals_by_year").drop("timestamp")
+
+
+def stream_top_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_global(spark, run_on_message_lines(spark, sf_dir), "top_10_cities").drop("timestamp")
 
 
 def stream_top_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = run_on_message_lines(spark, sf_dir)
-    return read_global(spark, out, "top_10_countries_per_year").drop("timestamp")
+    return read_global(spark, run_on_message_lines(spark, sf_dir), "top_10_countries_per_year").drop("timestamp")
+
+
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and records of each micro-batch."""
+    return spark.read.parquet(f"{run_on_message_lines(spark, sf_dir)}/tables/{BATCHES}").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "lines", "records")
+
+
+def stream_sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medals by year in each window of two slides."""
+    return spark.read.parquet(f"{run_on_message_lines(spark, sf_dir)}/tables/medals_by_year").select(
+        F.col("batch_id").cast("long").alias("batch_id"), "year", "count")
+
+
+def stream_from_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed → job twice: the second feed run adds files that the restarted job picks up."""
+    base = scratch_path(spark, "feed-job")
+    cfg = JobConfig(SLIDE_SECONDS, SLIDE_SECONDS, 0, f"{base}/checkpoint", f"{base}/out",
+                    source_path=f"{base}/stream", available_now=True)
+    for k in (0, 1):
+        events, regions = feed_sources(spark, sf_dir, f"{base}/files-{k}", F.pmod(F.col("id").cast("long"), F.lit(2)) == k)
+        write_feed(spark, events, regions, f"{base}/stream", header=True)
+        delete(spark, f"{base}/files-{k}")
+        MetricsJob(spark, cfg).run()
+    delete(spark, f"{base}/stream")
+    return read_global(spark, cfg.output_dir, "top_10_countries_per_year").drop("timestamp")
 
 
 STREAM_QUERIES = {
     "stream_medals_by_year": stream_medals_by_year,
+    "stream_top_cities": stream_top_cities,
     "stream_top_regions": stream_top_regions,
+    "stream_batch_counts": stream_batch_counts,
+    "stream_sliding_window": stream_sliding_window,
+    "stream_from_feed": stream_from_feed,
 }

@@ -9,7 +9,6 @@ from streammetrics.operators import eventtime, panes
 from streammetrics.operators.enrich import enrich
 from streammetrics.operators.metrics import (MEDALS_BY_YEAR, METRICS, TOP_10_CITIES,
                                              TOP_10_COUNTRIES_PER_YEAR, by_id, top_regions_unmerged)
-from streammetrics.plans.hints import bounded_broadcast
 from streammetrics.sources.tables import achievements, region_lookup, source_events
 
 
@@ -87,10 +86,19 @@ def test_enrich_keeps_unmatched_and_multiplies_duplicates(spark):
     assert out.where(F.col("noc").isin("23", "24")).where(F.col("region").isNotNull()).count() == 0
 
 
-def test_bounded_broadcast_only_below_the_bound(spark):
-    small = region_lookup(spark, SMALL)
-    assert "broadcast" in str(bounded_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(bounded_broadcast(small, 3)._jdf.queryExecution().logical()).lower()
+def test_enrich_leaves_the_join_to_spark(spark):
+    events, lookup = source_events(spark, SMALL), region_lookup(spark, SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = [tuple(r) for r in enrich(events, lookup).collect()]
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = enrich(events, lookup)
+        assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        key = lambda r: tuple((x is None, x if x is not None else 0) for x in r)
+        assert sorted(map(tuple, df.collect()), key=key) == sorted(want, key=key)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_grouping_sets_partials_equal_separate_partials(spark):

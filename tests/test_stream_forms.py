@@ -74,7 +74,7 @@ def test_stream_static_enrichment(spark):
     encode_lines(ev).write.text(path)
     sch = achievements(spark, SMALL).select(*SOURCE_COLUMNS).schema
     stream = parse_lines(read_stream(spark, "text", path), sch)
-    got = _run(enrich(stream, region_lookup(spark, SMALL), check_size=False), "append")
+    got = _run(enrich(stream, region_lookup(spark, SMALL)), "append")
     want = enrich(ev, region_lookup(spark, SMALL))
     cols = ["id", "noc", "region", "notes", "year", "medal"]
     assert _rows(got, cols) == _rows(want, cols)
