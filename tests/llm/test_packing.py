@@ -43,11 +43,26 @@ def check(docs, pieces):
 
 
 def test_chunked_encoding_equals_whole():
-    encode = P.make_encoder(P.default_tokenizer())
+    coder = P.Encoder(P.default_tokenizer())
     tok = P._tokenizer(P.default_tokenizer())
-    for t in ("", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a\n b", "a\n  b", "x \n y", "x  \ny", "it's 12ab　 c",
-              "don't <|endoftext|> stop", "é ß\xa0 \xa0x", "a\n\n b\n", "tab\t\tx y", "日本 語 123 4", "  lead two"):
-        assert np.frombuffer(encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    texts = ("", " ", "  ", "a", " a", "a ", "a  b", "a   b", "a\n b", "a\n  b", "x \n y", "x  \ny", "it's 12ab　 c",
+              "don't <|endoftext|> stop", "é ß\xa0 \xa0x", "a\n\n b\n", "tab\t\tx y", "日本 語 123 4", "  lead two",
+             "one Two. three,\nFour it's 3.5% <|endoftext|>x <|end y'll 's")
+    for limit in (P.Encoder.LIMIT, 3):
+        coder.LIMIT = limit
+        for _ in range(2):
+            for t, got in zip(texts, coder.batch(list(texts))):
+                assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_chunked_encoding_of_random_text():
+    import random
+    rng = random.Random(8)
+    coder, tok = P.Encoder(P.default_tokenizer()), P._tokenizer(P.default_tokenizer())
+    texts = ["".join(rng.choice([" ", " ", "a", "Bc", ".", "\n", "'s", "é", "12", "\t", "　", "!?", "<|endoftext|>", "the", "ß"])
+                     for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    for t, got in zip(texts, coder.batch(texts)):
+        assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_crc_of_tail():

@@ -1,0 +1,71 @@
+import random
+
+import numpy as np
+import pytest
+
+from streammetrics.llm import quality as Q
+from streammetrics.llm.common import table
+
+
+def rows(spark, n, seed=0):
+    rng = random.Random(seed)
+    good, bad = ["river", "stone", "walks", "under", "light", "quiet"], ["CLICK", "!!", "buy", "now", "$$$", "free"]
+    out = [(i, " ".join(rng.choice(good if i % 2 else bad) for _ in range(rng.randint(3, 60))), i % 2) for i in range(n)]
+    return spark.createDataFrame(out, "doc_id long, text string, label int")
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return Q.train(rows(spark, 300))
+
+
+def test_learns_and_scores_as_sparse_dot_product(spark, weights):
+    docs = rows(spark, 80, seed=5)
+    features = Q.make_features()
+    got = {r["doc_id"]: r for r in Q.score(docs, weights).collect()}
+    for r in docs.collect():
+        idx, x = features(r["text"])
+        p = 1 / (1 + np.exp(-sum(weights[i] * v for i, v in zip(idx, x))))
+        assert abs(got[r["doc_id"]]["score"] - p) < 1e-9
+        assert got[r["doc_id"]]["predicted"] == (p >= 0.7) == (r["label"] == 1)
+
+
+def test_ftrl_step_matches_the_update_rule():
+    size = 8
+    model = Q.Ftrl(np.zeros(size), np.zeros(size))
+    z, n = [0.0] * size, [0.0] * size
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        idx = rng.choice(size, 3, replace=False)
+        x, y = rng.random(3), int(rng.random() < 0.5)
+        w = [0.0 if abs(z[i]) <= Q.L1 else -(z[i] - np.sign(z[i]) * Q.L1) / ((Q.BETA + n[i] ** 0.5) / Q.ALPHA + Q.L2) for i in idx]
+        p = 1 / (1 + np.exp(-sum(a * b for a, b in zip(w, x))))
+        for k, i in enumerate(idx):
+            g = (p - y) * x[k]
+            sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / Q.ALPHA
+            z[i] += g - sigma * w[k]
+            n[i] += g * g
+        model.learn(idx, x, y)
+        assert np.allclose(model.z, z) and np.allclose(model.n, n)
+
+
+def test_nulls_repeats_long_and_clashing_columns(spark, weights):
+    data = [(1, None, 9.0), (2, "", 9.0), (3, "river stone", 9.0), (3, "river stone", 9.0), (None, "buy", 9.0), (4, "river quiet " * 100_000, 9.0)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, score double")
+    got = Q.score(docs, weights).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], set()).add(r["score"])
+    assert len(got) == 6 and by[1] == by[2] and len(by[3]) == 1 and all(0 <= s <= 1 for v in by.values() for s in v)
+    assert Q.score(docs.limit(0), weights).count() == 0
+    assert {r["score"] for r in Q.score(docs, Q.train(rows(spark, 4).limit(0))).collect()} == {0.5}
+
+
+def test_query_separates_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, sf, "labels").collect()}
+    got = Q.op10_quality(spark, sf).collect()
+    assert len(got) == table(spark, sf, "documents").count()
+    held = [(labels[r["doc_id"]], r["score"]) for r in got if r["held_out"] and r["doc_id"] in labels]
+    pos, neg = [s for y, s in held if y], [s for y, s in held if not y]
+    assert np.mean([[p > n for n in neg] for p in pos]) > 0.9
