@@ -10,6 +10,9 @@ These keep their state in Spark's state store instead of tables:
 * ``running_totals`` — ``groupBy(keys).count()`` over the whole stream, for
   complete or update output mode.
 
+Sliding windows are sums of slide counts, two stateful steps, which a streaming query
+runs in append mode only; the length must be a multiple of the slide.
+
 Ranking (top-k, top-k per group) is not allowed on a streaming plan; apply
 ``metric.finish`` to the sink's table, or use the ``foreachBatch`` job.
 """
@@ -28,13 +31,16 @@ ARRIVAL = "arrival"
 
 def _windowed(records: DataFrame, metric: Metric, ts: str, length: str, slide: str | None,
               watermark: str) -> DataFrame:
-    w = F.window(ts, length, slide) if slide else F.window(ts, length)
-    return (records.withWatermark(ts, watermark)
-            .where(metric.predicate())
-            .groupBy(w.alias("w"), *metric.keys)
-            .agg(F.count(F.lit(1)).alias(COUNT))
-            .select(F.col("w.start").alias(WINDOW_START), F.col("w.end").alias(WINDOW_END),
-                    *metric.keys, COUNT))
+    counts = (records.withWatermark(ts, watermark)
+              .where(metric.predicate())
+              .groupBy(F.window(ts, slide or length).alias("w"), *metric.keys)
+              .agg(F.count(F.lit(1)).alias(COUNT)))
+    if slide:
+        # Each slide is counted once; only its counts are copied into the windows that cover it.
+        counts = (counts.groupBy(F.window("w", length, slide).alias("v"), *metric.keys)
+                  .agg(F.sum(COUNT).cast("bigint").alias(COUNT)).withColumnRenamed("v", "w"))
+    return counts.select(F.col("w.start").alias(WINDOW_START), F.col("w.end").alias(WINDOW_END),
+                         *metric.keys, COUNT)
 
 
 def arrival_window_counts(lines: DataFrame, metric: Metric, length: str, slide: str | None = None,

@@ -32,9 +32,14 @@ def _rows(df, cols):
                   key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+def _written_lines(spark):
+    path = scratch_path(spark, "lines")
+    message_lines(spark, SMALL).select("value").repartition(3).write.text(path)
+    return spark.read.text(path), path
+
+
 def test_running_totals_stream(spark):
-    lines = message_lines(spark, SMALL)
-    src = lines.inputFiles()[0].rsplit("/", 1)[0]
+    lines, src = _written_lines(spark)
     stream = parse_lines(read_stream(spark, "text", src, {"maxFilesPerTrigger": "1"}))
     got = _run(windows.running_totals(stream, TOP_10_CITIES), "complete")
     want = TOP_10_CITIES.partial(parse_lines(lines))
@@ -42,8 +47,7 @@ def test_running_totals_stream(spark):
 
 
 def test_arrival_windows_count_every_accepted_record_once(spark):
-    lines = message_lines(spark, SMALL)
-    src = lines.inputFiles()[0].rsplit("/", 1)[0]
+    lines, src = _written_lines(spark)
     stream = read_stream(spark, "text", src)
     got = _run(windows.arrival_window_counts(stream, MEDALS_BY_YEAR, "1 hour"), "update")
     totals = got.groupBy("year").agg(F.sum("count").alias("count"))
@@ -64,6 +68,44 @@ def test_event_time_windows_on_a_stream(spark):
     assert _rows(got, ["window_start", "year", "count"]) == _rows(want, ["window_start", "year", "count"])
 
 
+def _timed(spark, seconds):
+    return spark.createDataFrame([(f"2024-01-01 00:{s // 60:02d}:{s % 60:02d}",) for s in seconds], "t string").select(
+        F.to_timestamp("t").alias("ts"), F.lit(2000).cast("smallint").alias("year"), F.lit("Gold").alias("medal"))
+
+
+def test_sliding_event_time_windows_drop_late_rows_in_append_mode(spark):
+    path = scratch_path(spark, "sliding")
+    schema = _timed(spark, [0]).schema
+    name = "q_" + uuid.uuid4().hex[:8]
+    _timed(spark, [5]).write.parquet(path)
+    stream = spark.readStream.schema(schema).parquet(path)
+    df = windows.event_time_window_counts(stream, MEDALS_BY_YEAR, "ts", "20 seconds", "10 seconds", "0 seconds")
+    q = (df.writeStream.format("memory").queryName(name).outputMode("append")
+         .option("checkpointLocation", scratch_path(spark, "ckpt")).start())
+    try:
+        q.processAllAvailable()
+        for more in ([12, 14, 31], [100], [7, 130], [200]):      # 7 comes long after its windows closed
+            _timed(spark, more).write.mode("append").parquet(path)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {(r["window_start"].minute * 60 + r["window_start"].second, r["count"])
+           for r in spark.table(name).where("window_start >= '2024-01-01'").collect()}
+    assert got >= {(0, 3), (10, 2), (20, 1), (30, 1), (90, 1), (100, 1)} and (0, 4) not in got
+
+
+def test_binary_and_null_payloads_are_decoded_and_dropped(spark):
+    path = scratch_path(spark, "payloads")
+    rows = [(bytearray(b"ok\xff"),), (None,), (bytearray(b"fine"),)]
+    spark.createDataFrame(rows, "body binary").write.parquet(path)
+    spark.conf.set("spark.sql.streaming.schemaInference", "true")
+    try:
+        stream = read_stream(spark, "parquet", path, payload="body")
+    finally:
+        spark.conf.unset("spark.sql.streaming.schemaInference")
+    assert sorted(r[0] for r in _run(stream, "append").collect()) == ["fine", "ok\ufffd"]
+
+
 def test_stream_static_enrichment(spark):
     from streammetrics.functions.lines import encode_lines
     from streammetrics.operators.enrich import enrich
