@@ -22,7 +22,7 @@ from ..operators.enrich import enrich
 from ..operators.metrics import (MEDALS_BY_YEAR, TOP_10_CITIES, TOP_10_COUNTRIES_PER_YEAR,
                                  top_regions_unmerged)
 from ..schema import EVENT_COLUMNS
-from ..sources.lines_fixture import variant_lines
+from .lines_fixture import variant_lines
 from ..sources.tables import achievements, region_lookup, source_events
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -56,11 +56,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -106,5 +101,5 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
     return sorted(out)
 
 
-__all__ = ["build_session", "set_arrival", "work_dir", "scratch_path", "local_path", "exists", "delete",
+__all__ = ["build_session", "set_arrival", "work_dir", "scratch_path", "exists", "delete",
            "list_partitions"]

@@ -39,7 +39,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lines import OK, flag_lines
 from ..functions.stamps import STAMP, batch_folder, stamp_folder, stamp_literal
-from ..operators.metrics import (COUNT, METRICS, Metric, combined_partials, merge_combined, nonzero,
+from ..operators.metrics import (COUNT, METRICS, Metric, by_id, combined_partials, merge_combined, nonzero,
                                  row_counts, split_partial)
 from ..session import build_session, delete, exists, list_partitions
 from ..sinks.writers import BATCH_ID, append_table, overwrite_table, read_latest, write_batch_partition, write_dump
@@ -321,9 +321,7 @@ def read_global(spark: SparkSession, output_dir: str, metric: str | Metric,
                 fmt: str = "parquet") -> DataFrame:
     """Newest global result of a metric (stamp column included); empty before the first record."""
     if isinstance(metric, str):
-        metric = next((m for m in METRICS if m.id == metric), None)
-        if metric is None:
-            raise KeyError("pass the Metric itself when it is not one of the registry")
+        metric = by_id(metric)   # a metric outside the registry is passed itself
     path = f"{output_dir.rstrip('/')}/tables/{metric.id}_global"
     return read_latest(spark, path, fmt, global_schema(spark, metric))
 

@@ -11,6 +11,11 @@ SMALL = "/root/testdata/sf0.001"
 MEDIUM = "/root/testdata/sf0.01"
 
 
+def local_path(path: str) -> str:
+    """Strip a ``file:`` scheme for code that needs an OS path."""
+    return path[5:] if path.startswith("file:") else path
+
+
 @pytest.fixture(scope="session")
 def spark():
     from streammetrics.session import build_session, work_dir

@@ -6,9 +6,10 @@ import os
 
 from pyspark.sql import functions as F
 
+from conftest import local_path
 from streammetrics.functions.lines import decode_payload
 from streammetrics.functions.stamps import batch_folder, stamp_folder
-from streammetrics.session import local_path, scratch_path
+from streammetrics.session import scratch_path
 from streammetrics.sinks.writers import read_latest, write_batch_partition, write_lines
 from streammetrics.sources.files import read_delimited, read_lines, read_regions
 

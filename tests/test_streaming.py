@@ -8,11 +8,11 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from conftest import SMALL, local_path
 from streammetrics.functions.lines import parse_lines
 from streammetrics.operators.metrics import METRICS, MEDALS_BY_YEAR
 from streammetrics.plans.queries import message_lines
-from streammetrics.session import local_path, scratch_path
+from streammetrics.session import scratch_path
 from streammetrics.streaming.job import JobConfig, MetricsJob, main, read_global
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
