@@ -14,7 +14,9 @@ that grid follows; documents are tokenized once.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -23,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streammetrics.llm.common import PieceCache, materialize, table, text_batches
+from streammetrics.llm.common import materialize, table, text_batches
 
 WINDOW = 2048
 UNIT = 8            # remainder lengths are counted in bins of this many tokens
 DEPTH = 3           # most lengths in a combination
 GRID = 16           # left-over pieces are cut at multiples of this many tokens
-GROUP = 20_000      # documents whose ranks, or left-over pieces whose packing, one task handles
+GROUP = 5_000       # documents whose ranks, or left-over pieces whose packing, one task handles
 END = 1             # id that ends each document
 
 
@@ -44,35 +46,57 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def make_encoder(path: str):
-    """text → little-endian unsigned 32-bit ids, equal to encoding the whole text at once.
+class Encoder:
+    """texts → little-endian unsigned 32-bit ids, equal to encoding each text at once.
 
     Byte-level pre-tokenization never joins across a single space before a non-space, so a text
-    is encoded chunk by chunk, each with its leading space, through a bounded cache. A text with
-    a chunk that is empty or begins or ends with white space is encoded whole.
+    is encoded chunk by chunk, each but the first with its leading space, through a bounded
+    cache; new chunks of many texts are encoded together. A text with a chunk that is empty or
+    begins or ends with white space is encoded whole.
     """
-    tokenizer = _tokenizer(path)
 
-    def ids(text: str) -> bytes:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def chunk(piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise KeyError(piece)
-        return ids(" " + piece)
-
-    cache = PieceCache(chunk, 600_000)
-
-    def encode(text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if not rest or not first or first[-1].isspace():
-            return ids(text)
-        try:
-            return ids(first) + cache.joined(rest)
-        except KeyError:
-            return ids(text)
-
-    return encode
+    LIMIT = 600_000   # cached chunks
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = _tokenizer(path)
+        self.chunks: dict[str, bytes] = {}   # a text's first chunk is kept with a zero character before it
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _fill(self, wanted: set[str]) -> None:
+        if len(self.chunks) + len(wanted) > self.LIMIT:
+            self.chunks.clear()
+        learn = [c for c in wanted - self.chunks.keys() if c and not c[0].isspace() and not c[-1].isspace()]
+        texts = [c[1:] if c[0] == "\0" else " " + c for c in learn]
+        for c, e in zip(learn, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.chunks[c] = array("I", e.ids).tobytes()
+
+    def batch(self, texts: list[str]) -> list[bytes]:
+        parts = []
+        wanted: set[str] = set()
+        for text in texts:
+            if "\0" in text or text[:1].isspace():
+                parts.append(None)
+                continue
+            p = ("\0" + text).split(" ")
+            wanted.update(p)
+            parts.append(p)
+        self._fill(wanted)
+        out = []
+        for text, p in zip(texts, parts):
+            try:
+                out.append(self.whole(text) if p is None else b"".join(map(self.chunks.__getitem__, p)))
+            except KeyError:
+                out.append(self.whole(text))
+        return out
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """The process's encoder of a tokenizer file; its caches outlive a task."""
+    return Encoder(path)
 
 
 def crc_of_tail(whole: int, head: int, tail_bytes: int) -> int:
@@ -93,13 +117,13 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str)
     arrow_id = to_arrow_type(id_type)
 
     def run(batches):
-        encode = make_encoder(tokenizer_path)
+        encode = encoder(tokenizer_path).batch
         end = np.array([END], "<u4").tobytes()
         step, window = 4 * GRID, 4 * WINDOW
         for ids, texts in text_batches(batches):
             tokens, full, prefix = [], [], []
-            for text in texts:
-                b = encode(text) + end
+            for b in encode(texts):
+                b += end
                 cut = len(b) // window * window
                 tokens.append(len(b) // 4)
                 full.append(np.array([zlib.crc32(b[i:i + window]) for i in range(0, cut, window)], "<u4").tobytes())
