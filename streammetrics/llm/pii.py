@@ -102,15 +102,38 @@ _RULES = re.compile(
     rf"|(?P<plus>\bplus[\s-]+(?={_NUMBER}\b))"
     rf"|(?P<digits>\b{_NUMBER}(?:[\s-]+{_NUMBER})+\b)", re.IGNORECASE)
 _ITEM = re.compile(r"[a-z]+|[0-9]+", re.IGNORECASE)
-_SIGNS = (" dot ", " @ ", *(o + s + w for o in "[({<" for s in ("", " ") for w in ("at", "dot", "@", ".", "arroba", "pun", "point")))
+_BRACKETED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.|arroba|pun|point)")
+_SPELLED = re.compile(rf"\b{_NUMBER}(?:[\s-]+{_NUMBER}){{2}}")
+_DOT, _AT = re.compile(r"\sdot\s"), re.compile(r"\s@\s")
+_PLUS = re.compile(r"\bplus[\s-]+[0-9]")
+_LOW_WORD = re.compile("[a-z]+")
+_ODD_SET = frozenset(_HIDDEN) | frozenset(map(chr, HOMOGLYPHS))
+
+
+def _odd(text: str) -> bool:
+    """Whether the text has a homoglyph or hidden character."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return not _ODD_SET.isdisjoint(text)
+    return "\xa0" in text or "\xad" in text
 
 
 def _may_hide(text: str) -> bool:
-    """Whether a transducer could change the text in a way that matters; cheap."""
-    if _ODD.search(text):
+    """Whether a transducer could turn something into an identifier; from the cheapest test on."""
+    if _odd(text):
         return True
     low = text.lower()
-    return any(s in low for s in _SIGNS) or sum(w in low for w in DIGIT_WORDS) >= 2
+    if "dot" in low and _DOT.search(low) or "@" in low and _AT.search(low):
+        return True
+    if any(c in low for c in "[({<") and _BRACKETED.search(low):
+        return True
+    if any(w in low for w in DIGIT_WORDS) and not DIGIT_WORDS.keys().isdisjoint(_LOW_WORD.findall(low)):
+        if _SPELLED.search(low):
+            return True
+    return "plus" in low and bool(_PLUS.search(low))
 
 
 def normalise(text: str) -> tuple[str, list[tuple[int, int, int, bool]]]:
@@ -127,9 +150,11 @@ def normalise(text: str) -> tuple[str, list[tuple[int, int, int, bool]]]:
             out.append(piece)
             size += len(piece)
 
+    odd = _odd(text)
+
     def copy(start: int, end: int) -> None:
         at = start
-        for m in _ODD.finditer(text, start, end):
+        for m in _ODD.finditer(text, start, end) if odd else ():
             emit(plain[at:m.start()], at, m.start(), False)
             emit(plain[m.start()], m.start(), m.end(), True)
             at = m.end()
