@@ -30,3 +30,8 @@ def spark():
 def duck():
     from oracle_check import duck as make
     return make(SMALL)
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SMALL
