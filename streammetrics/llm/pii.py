@@ -93,21 +93,24 @@ _HIDDEN = "​‌‍⁠﻿­"
 _ODD = re.compile("[" + _HIDDEN + "".join(map(chr, HOMOGLYPHS)).replace("-", "") + "]")
 DIGIT_WORDS = {w: str(i % 10) for i, w in enumerate(
     ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"))}
-_NUMBER = "(?:" + "|".join(DIGIT_WORDS) + "|[0-9]+)"
-_OPEN, _CLOSE = r"\s*[\[({<]\s*", r"\s*[\])}>]\s*"
+_WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
+_NUMBER = f"(?:{_WORD}|[0-9]+)"
+# blanks are taken from the first of their run on, which keeps long runs linear
+_OPEN, _CLOSE = r"(?:(?<!\s)\s+)?[\[({<]\s*", r"\s*[\])}>]\s*"
 _RULES = re.compile(
     rf"(?P<hidden>[{_HIDDEN}]+)"
-    rf"|(?P<at>{_OPEN}(?:at|@|arroba){_CLOSE}|\s+@\s+|(?<=\w)\s+at\s+(?=[a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)))"
+    rf"|(?P<at>{_OPEN}(?:at|@|arroba){_CLOSE}|(?<!\s)\s+@\s+|(?<=\w)\s+at\s+(?=[a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)))"
     rf"|(?P<dot>{_OPEN}(?:dot|punkt|punto|point|\.){_CLOSE}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9]))"
     rf"|(?P<plus>\bplus[\s-]+(?={_NUMBER}\b))"
     rf"|(?P<digits>\b{_NUMBER}(?:[\s-]+{_NUMBER})+\b)", re.IGNORECASE)
 _ITEM = re.compile(r"[a-z]+|[0-9]+", re.IGNORECASE)
-_BRACKETED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.|arroba|pun|point)")
-_SPELLED = re.compile(rf"\b{_NUMBER}(?:[\s-]+{_NUMBER}){{2}}")
+# What every match of a rule contains, in lower case.
+_BRACKETED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.|arroba|punkt|punto|point)")
+_SPELLED = re.compile(rf"{_WORD}[\s-]+{_NUMBER}|[0-9][\s-]+{_WORD}")
 _DOT, _AT = re.compile(r"\sdot\s"), re.compile(r"\s@\s")
-_PLUS = re.compile(r"\bplus[\s-]+[0-9]")
-_LOW_WORD = re.compile("[a-z]+")
+_PLUS = re.compile(rf"plus[\s-]+{_NUMBER}")
 _ODD_SET = frozenset(_HIDDEN) | frozenset(map(chr, HOMOGLYPHS))
+_FOLDED = frozenset("\u0130\u0131\u017f\u212a")  # match i, s or k in the rules, but not all in lower case
 
 
 def _odd(text: str) -> bool:
@@ -122,18 +125,17 @@ def _odd(text: str) -> bool:
 
 
 def _may_hide(text: str) -> bool:
-    """Whether a transducer could turn something into an identifier; from the cheapest test on."""
-    if _odd(text):
+    """Whether a rule could match or the text is odd; true too often, but never false where one does."""
+    if _odd(text) or not text.isascii() and not _FOLDED.isdisjoint(text):
         return True
     low = text.lower()
     if "dot" in low and _DOT.search(low) or "@" in low and _AT.search(low):
         return True
     if any(c in low for c in "[({<") and _BRACKETED.search(low):
         return True
-    if any(w in low for w in DIGIT_WORDS) and not DIGIT_WORDS.keys().isdisjoint(_LOW_WORD.findall(low)):
-        if _SPELLED.search(low):
-            return True
-    return "plus" in low and bool(_PLUS.search(low))
+    if "plus" in low and _PLUS.search(low):
+        return True
+    return any(w in low for w in DIGIT_WORDS) and bool(_SPELLED.search(low))
 
 
 def normalise(text: str) -> tuple[str, list[tuple[int, int, int, bool]]]:

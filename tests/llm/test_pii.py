@@ -85,3 +85,32 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in clean.collect()), key=str) == sorted(
         [(1, "x <EMAIL> y", 11), (1, "x <EMAIL> y", 11), (None, "<IP>", 4), (3, None, None), (4, "", 0)], key=str)
     assert P.personal_data(docs.limit(0)).count() == 0
+
+
+PIECES = ("plus", "Plus", "one", "TWO", "zero", "seven", "1", "192", "5551234567", "45391488034364", "6", " ", " ", " ", "-", "\n", ".", "+",
+          " dot ", " at ", " @ ", "[at]", "( dot )", "<.>", "[punkt]", "{poınt}", "pluſ ", "joe", "mail", "com", "x", "​", "é")
+
+
+def test_gate_agrees_with_the_rules(monkeypatch):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(1, 14))) for _ in range(40_000)]
+    texts += ["call plus one 5551234567", "card 453914880343646 seven", "card four 539148803436467", "plus-one-5551234567."]
+    gated = [P.find(t) for t in texts]
+    monkeypatch.setattr(P, "_may_hide", lambda text: True)
+    assert [t for t, g in zip(texts, gated) if g != P.find(t)] == []
+    assert sum(len(g[1]) > len(g[0]) for g in gated) > 100
+
+
+@pytest.mark.parametrize("text,piece,kind", [
+    ("call plus one 5551234567 now", "plus one 5551234567", "phone"),
+    ("card 453914880343646 seven ok", "453914880343646 seven", "card"),
+])
+def test_one_spelled_digit_opens_the_gate(text, piece, kind):
+    at = text.index(piece)
+    assert P.find(text) == ([], [(at, at + len(piece), kind)])
+    assert P.redacted(text) == text.replace(piece, f"<{kind.upper()}>")
+
+
+def test_long_texts_behind_the_gate_are_linear():
+    for text in (" " * 200_000 + "one two", "one two" + " " * 200_000 + "@", "plus 1" + "\n" * 200_000):
+        P.find(text)
