@@ -97,18 +97,23 @@ _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
 _NUMBER = f"(?:{_WORD}|[0-9]+)"
 # blanks are taken from the first of their run on, which keeps long runs linear
 _OPEN, _CLOSE = r"(?:(?<!\s)\s+)?[\[({<]\s*", r"\s*[\])}>]\s*"
+_DOT_RULE = rf"{_OPEN}(?:dot|punkt|punto|point|\.){_CLOSE}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9])"
 _RULES = re.compile(
     rf"(?P<hidden>[{_HIDDEN}]+)"
     rf"|(?P<at>{_OPEN}(?:at|@|arroba){_CLOSE}|(?<!\s)\s+@\s+|(?<=\w)\s+at\s+(?=[a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)))"
-    rf"|(?P<dot>{_OPEN}(?:dot|punkt|punto|point|\.){_CLOSE}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9]))"
+    rf"|(?P<dot>{_DOT_RULE})"
     rf"|(?P<plus>\bplus[\s-]+(?={_NUMBER}\b))"
-    rf"|(?P<digits>\b{_NUMBER}(?:[\s-]+{_NUMBER})+\b)", re.IGNORECASE)
+    rf"|(?P<digits>\b{_NUMBER}(?:[\s-]+{_NUMBER})+\b)"
+    rf"|(?P<digit>(?<![^\W0-9]){_WORD}(?![^\W0-9]))", re.IGNORECASE)  # only beside a dot, plus or digit, see _beside
+_NEXT_DOT = re.compile(_DOT_RULE, re.IGNORECASE)
 _ITEM = re.compile(r"[a-z]+|[0-9]+", re.IGNORECASE)
 # What every match of a rule contains, in lower case.
 _BRACKETED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.|arroba|punkt|punto|point)")
 _SPELLED = re.compile(rf"{_WORD}[\s-]+{_NUMBER}|[0-9][\s-]+{_WORD}")
+_SINGLE = re.compile(rf"[0-9.+]{_WORD}|{_WORD}[0-9.]")
 _DOT, _AT = re.compile(r"\sdot\s"), re.compile(r"\s@\s")
 _PLUS = re.compile(rf"plus[\s-]+{_NUMBER}")
+_SIGNS, _AFTER = frozenset("0123456789.+"), frozenset("0123456789.")
 _ODD_SET = frozenset(_HIDDEN) | frozenset(map(chr, HOMOGLYPHS))
 _FOLDED = frozenset("\u0130\u0131\u017f\u212a")  # match i, s or k in the rules, but not all in lower case
 
@@ -135,11 +140,20 @@ def _may_hide(text: str) -> bool:
         return True
     if "plus" in low and _PLUS.search(low):
         return True
-    return any(w in low for w in DIGIT_WORDS) and bool(_SPELLED.search(low))
+    return any(w in low for w in DIGIT_WORDS) and bool(_SPELLED.search(low) or _SINGLE.search(low))
 
 
-def normalise(text: str) -> tuple[str, list[tuple[int, int, int, bool]]]:
-    """Normalised text and its stretches (normalised start, source start, source end, rewritten)."""
+def _beside(plain: str, start: int, end: int, sign: int) -> bool:
+    """Whether a dot, plus or digit stands next to a word; ``sign`` is where the last rewritten dot or plus ended."""
+    return (start == sign or plain[start - 1:start] in _SIGNS or plain[end:end + 1] in _AFTER
+            or _NEXT_DOT.match(plain, end) is not None)
+
+
+def normalise(text: str, lone: bool = True) -> tuple[str, list[tuple[int, int, int, bool]], bool]:
+    """Normalised text, its stretches (normalised start, source start, source end, rewritten), and if a lone digit was.
+
+    Without ``lone`` a spelled digit is rewritten beside other numbers only.
+    """
     plain = text.translate(HOMOGLYPHS)  # one character for one
     out: list[str] = []
     stretches: list[tuple[int, int, int, bool]] = []
@@ -162,27 +176,43 @@ def normalise(text: str) -> tuple[str, list[tuple[int, int, int, bool]]]:
             at = m.end()
         emit(plain[at:end], at, end, False)
 
-    at = 0
+    at, sign, alone = 0, -1, False
     for m in _RULES.finditer(plain):
         kind = m.lastgroup
+        if kind == "digit":
+            if not lone or not _beside(plain, m.start(), m.end(), sign):
+                continue
+            alone = True
         if kind == "digits" and not re.search("[a-z]", m.group(), re.IGNORECASE):
             continue
         copy(at, m.start())
         at = m.end()
-        if kind == "digits":
+        sign = at if kind in ("dot", "plus") else -1
+        if kind in ("digits", "digit"):
             for item in _ITEM.finditer(plain, m.start(), m.end()):
                 emit(DIGIT_WORDS.get(item.group().lower(), item.group()), item.start(), item.end(), True)
         else:
             emit({"hidden": "", "at": "@", "dot": ".", "plus": "+"}[kind], m.start(), m.end(), True)
     copy(at, len(text))
-    return "".join(out), stretches
+    return "".join(out), stretches, alone
 
 
 def hidden_identifiers(text: str, base: list[Span]) -> list[Span]:
-    """Spans of source characters whose normalised form holds an identifier and that meet no base span."""
+    """Spans of source characters whose normalised form holds an identifier and that meet no base span.
+
+    A lone digit may also belong to what stands before or after an identifier, so texts with one
+    are read with and without it.
+    """
     if not _may_hide(text):
         return []
-    normal, stretches = normalise(text)
+    normal, stretches, alone = normalise(text)
+    found = _mapped(text, base, normal, stretches)
+    if alone:
+        found += [s for s in _mapped(text, base, *normalise(text, lone=False)[:2]) if s not in found]
+    return found
+
+
+def _mapped(text: str, base: list[Span], normal: str, stretches: list[tuple[int, int, int, bool]]) -> list[Span]:
     if normal == text:
         return []
     begins = [s[0] for s in stretches]

@@ -114,3 +114,32 @@ def test_one_spelled_digit_opens_the_gate(text, piece, kind):
 def test_long_texts_behind_the_gate_are_linear():
     for text in (" " * 200_000 + "one two", "one two" + " " * 200_000 + "@", "plus 1" + "\n" * 200_000):
         P.find(text)
+
+
+@pytest.mark.parametrize("text,piece,kind", [
+    ("host one nine two dot one six eight dot one dot one up", "one nine two dot one six eight dot one dot one", "ip"),
+    ("host 10 dot 0 dot zero dot one up", "10 dot 0 dot zero dot one", "ip"),
+    ("host 10 [dot] Zero (dot) zero {.} one.", "10 [dot] Zero (dot) zero {.} one", "ip"),
+    ("host one.two.3.four up", "one.two.3.four", "ip"),
+    ("call plus one (555) 123 4567 now", "plus one (555) 123 4567", "phone"),
+    ("call +one (555) 123 4567 now", "+one (555) 123 4567", "phone"),
+    ("call +1 555 12six 3456 now", "+1 555 12six 3456", "phone"),
+    ("mail joe [at] one dot com now", "joe [at] one dot com", "email"),
+])
+def test_lone_spelled_digits(text, piece, kind):
+    at = text.index(piece)
+    assert P.find(text) == ([], [(at, at + len(piece), kind)])
+    assert P.redacted(text) == text.replace(piece, f"<{kind.upper()}>")
+
+
+def test_lone_digits_hide_nothing(monkeypatch):
+    card = "one4539 1488 0343 six 467"
+    assert P.find(card)[1] == [(3, len(card), "card")]
+    assert P.find("He had one. Two of 3. At five dot the line, plus six more.")[1] == []
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(PIECES, k=rng.randint(1, 14))) for _ in range(20_000)]
+    found, whole = [P.find(t)[1] for t in texts], P.normalise
+    monkeypatch.setattr(P, "normalise", lambda text, lone=True: whole(text, False))
+    assert all(set(P.find(t)[1]) <= set(f) for t, f in zip(texts, found))
+    for text in ("one. " * 50_000, "one dot " * 30_000, "one" + " " * 200_000 + "dot 1.one"):
+        P.find(text)
