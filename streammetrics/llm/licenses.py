@@ -48,8 +48,9 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     "apache-copy": ("You may obtain a copy of the License at *",),
     "apache-as-is": ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",),
     "apache-see": ("See the License for the specific language governing permissions and limitations under the License",),
-    "gpl-free": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, *",
-                 "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; *"),
+    # the version follows a comma or semicolon; only without either does the notice take the rest of its sentence
+    "gpl-free": ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+                 "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation *"),
     "gpl-v2": ("either version 2 of the License, or (at your option) any later version", "version 2 of the License"),
     "gpl-v3": ("either version 3 of the License, or (at your option) any later version", "version 3 of the License"),
     "gpl2-ref": ("This work is licensed under the GNU General Public License, version 2", "Licensed under the GNU General Public License, version 2",

@@ -56,3 +56,23 @@ def test_nulls_repeats_long_and_clashing_columns(spark):
     assert got == sorted([(1, "MIT", "MIT:0:30"), (1, "MIT", "MIT:0:30"), (None, "MIT", "MIT:0:30"), (2, "", ""), (3, "", ""),
                           (4, "MIT", "MIT:600000:600030"), (5, "MIT", "MIT:2:32")], key=str)
     assert L.scan(docs.limit(0)).count() == 0
+
+
+GPL = """This program is free software{0} you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation{1} {2} of the License{3}
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+LATER = ", or\n(at your option) any later version."
+
+
+def test_gpl_notices_as_published():
+    for notice, name in ((GPL.format(";", ";", "either version 2", LATER), "GPL-2.0"), (GPL.format(":", ",", "either version 3", LATER), "GPL-3.0"),
+                         (GPL.format(";", ";", "version 2", "."), "GPL-2.0"), (GPL.format(":", ",", "version 3", "."), "GPL-3.0"),
+                         (GPL.format(":", " and", "others", "."), "GPL")):
+        for text in (notice, " ".join(notice.split()), re.sub("^", " * ", notice, flags=re.MULTILINE)):
+            assert names(text) == [name], text
