@@ -76,3 +76,14 @@ def test_gpl_notices_as_published():
                          (GPL.format(":", " and", "others", "."), "GPL")):
         for text in (notice, " ".join(notice.split()), re.sub("^", " * ", notice, flags=re.MULTILINE)):
             assert names(text) == [name], text
+
+
+def test_sentences_parted_by_lines_and_marks_are_found():
+    for ident, forms in L.SENTENCES.items():
+        for form in forms:
+            words = form.replace("*", "2020 A B").split()
+            for gap in ("\n", "\n# ", "\n *  ", "  "):
+                found = [s[0] for s in L.sentences("Some prose.\n" + gap.join(words) + ".")]
+                assert found == [ident] or form.endswith("*") and found[:1] == [ident], (form, gap)
+    assert names("Released\nunder CC0") == ["CC0-1.0"] and names("released into the public\n# domain") == ["public-domain"]
+    assert names("Released\n// under CC BY 4.0") == ["CC-BY-4.0"]
