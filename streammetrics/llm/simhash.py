@@ -236,20 +236,27 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that carry their component's smallest id, one row for each id.
+    """Of each component the row of ``docs`` with the smallest id, and of those with one id the smallest text hash.
 
-    Rows without an id can't be told apart and all stay.
+    Unlike texts under one id are in components of their own and are decided each by itself; of rows that
+    differ in other columns only, the first as JSON stays. Rows without an id can't be told apart and all stay.
     """
-    found = materialize(near_duplicates(docs, id_col, text_col), "components")
-    best = found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
-        F.count("*").alias("rows"), F.min((F.col(id_col) != F.col("component_id")).cast("int")).alias("other"))
-    best = materialize(best, "kept-ids")
-    kept = docs.join(best.filter("other = 1").select(id_col), id_col, "left_anti")
-    repeated = best.filter("other = 0 and rows > 1").select(id_col)
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    key = F.unhex(F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("")))
+    keyed = docs.withColumn(row, F.when(F.col(id_col).isNotNull(), F.struct(F.col(id_col).alias("id"), key.alias("key"))))
+    found = materialize(near_duplicates(keyed, row, text_col), "components")
+    best = found.filter(F.col(row).isNotNull()).groupBy(row).agg(
+        F.count("*").alias("rows"), F.min((F.col(row) != F.col("component_id")).cast("int")).alias("other"))
+    best = materialize(best, "kept-rows")
+    kept = keyed.join(best.filter("other = 1").select(row), row, "left_anti")
+    repeated = best.filter("other = 0 and rows > 1").select(row)
     if repeated.isEmpty():
         return kept.select(docs.columns)
-    once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").unionByName(once).select(docs.columns)
+    whole = F.struct(*docs.columns)
+    once = kept.join(repeated, row, "left_semi").groupBy(row).agg(F.min_by(whole, F.to_json(whole)).alias("one"))
+    return kept.join(repeated, row, "left_anti").select(docs.columns).unionByName(once.select("one.*"))
 
 
 def op5_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,3 +100,15 @@ def test_nulls_ties_repeats_and_clashing_columns(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [11, 3, 7, None]
     assert S.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_keep_one_decides_by_row(spark):
+    text, alone = (" ".join(f"{c}{i}" for i in range(50)) for c in "wu")
+    rows = [(3, text, "a"), (7, alone, "b"), (7, text, "c"), (7, alone, "a"), (7, alone, "b"), (9, text, "a"),
+            (5, None, "b"), (5, "", "a"), (6, " ", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    for n in (1, 5):  # whatever the order of rows
+        for part in (docs, docs.orderBy("row"), docs.orderBy(docs.text.desc())):
+            kept = S.keep_one(part.repartition(n))
+            assert kept.columns == docs.columns
+            assert sorted(kept.collect()) == [(3, text, "a"), (5, None, "b"), (7, alone, "a")]
