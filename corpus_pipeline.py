@@ -5,7 +5,7 @@ shared checkpoint folder and rereads as the next stage's documents. All but the
 the columns of ``documents``. Stage decisions take effect:
 
 toxicity       rows whose score reaches the threshold go; the model learns from the labelled part of ``documents``
-near_dedup     of each component of near copies the row with the smallest id stays
+near_dedup     of each component of near copies the row with the smallest id stays, and one of its rows without an id
 decontaminate  rows that hold a benchmark item go
 pii            personal data are replaced by their kind in brackets, n_chars is counted anew
 packing        pieces with their place in sequences

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 import xxhash
@@ -112,3 +114,19 @@ def test_keep_one_decides_by_row(spark):
             kept = S.keep_one(part.repartition(n))
             assert kept.columns == docs.columns
             assert sorted(kept.collect()) == [(3, text, "a"), (5, None, "b"), (7, alone, "a")]
+
+
+def test_keep_one_without_ids(spark):
+    text, near, alone = (" ".join([*(f"{c}{i}" for i in range(200)), end]) for c, end in (("w", "x"), ("w", "y"), ("u", "x")))
+    assert 0 < (S.fingerprint(text) ^ S.fingerprint(near)).bit_count() <= 4
+    rows = [(3, text), (4, near)] + 200 * [(None, text), (None, near), (None, alone), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (small, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            kept = sorted(((r["doc_id"], r["text"]) for r in S.keep_one(docs.repartition(7)).collect()), key=str)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+        first = min(text, near, key=lambda t: hashlib.md5(t.encode()).digest())
+        assert kept == sorted([(3, text), (None, first), (None, alone), (None, None)], key=str)
