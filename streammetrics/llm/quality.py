@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from streammetrics.llm.common import PieceCache, hash64, id_remainder, labelled, mix64, per_text, table
 
-BITS = 16
+BITS = 18
 TRAIN_DOCS = 8000     # expected number of labelled documents learned from
 SHARDS = 4
 PASSES = 3

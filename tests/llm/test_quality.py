@@ -69,3 +69,9 @@ def test_query_separates_held_out_documents(spark):
     held = [(labels[r["doc_id"]], r["score"]) for r in got if r["held_out"] and r["doc_id"] in labels]
     pos, neg = [s for y, s in held if y], [s for y, s in held if not y]
     assert np.mean([[p > n for n in neg] for p in pos]) > 0.9
+
+
+def test_words_rarely_share_a_cell():
+    from streammetrics.llm.quality import make_features
+    index, _ = make_features()(" ".join(f"w{i}" for i in range(20_000)))
+    assert len(index) > 0.9 * 40_000
