@@ -20,8 +20,8 @@ quote, unterminated quote), its field count differs from the schema, or a
 typed field doesn't parse. ``DROPMALFORMED`` drops such lines,
 ``FAILFAST`` fails the job naming the line.
 
-Implementation: a possessive regular expression checks the structure and the
-field count, ``from_csv`` splits and unquotes into strings, and ``try_cast``
+Implementation: a possessive regular expression (a scan over the split line for schemas of
+more than ``MAX_FIELDS`` fields) checks the structure and the field count, ``from_csv`` splits and unquotes into strings, and ``try_cast``
 plus strict patterns convert — all in one JVM projection with no Python
 worker, for batch and streaming DataFrames alike.
 """
@@ -59,7 +59,8 @@ def _jre(ch: str) -> str:
     return "\\x{%x}" % ord(ch)
 
 
-# The guard is one regular expression over all fields; far wider schemas overflow its matcher's stack.
+# One regular expression over all fields guards schemas up to this width; a far wider one would
+# overflow its matcher's stack, so wider schemas are guarded by a scan over the split line.
 MAX_FIELDS = 500
 
 
@@ -80,6 +81,46 @@ def structure_pattern(n_fields: int, delimiter: str = DEFAULT_DELIMITER,
     return rf"\A{field}(?:{d}{field}){{{n_fields - 1}}}\z"
 
 
+def structure_scan(value: Column, n_fields: int, delimiter: str = DEFAULT_DELIMITER,
+                   quote: str = DEFAULT_QUOTE) -> Column:
+    """True for the well-formed lines with ``n_fields`` fields, whatever the width; null for a null line.
+
+    The line is split at every delimiter and the pieces are scanned in order: a piece inside a quoted
+    field carries that state on to the next. Behind the opening quote (if any) doubled quotes are
+    taken out; then no quote left means that the field goes on behind the delimiter, a single one at the
+    end closes it, and any other is text after a closing quote.
+    """
+    if delimiter == quote:
+        raise ValueError("delimiter and quote must differ")
+    _jre(quote)
+    q, none = F.lit(quote), F.lit("")
+
+    def step(state: Column, piece: Column) -> Column:
+        inside, opens = state["inside"], ~state["inside"] & piece.startswith(q)
+        rest = F.replace(F.when(opens, F.substring(piece, F.lit(2), F.length(piece))).otherwise(piece),
+                         F.lit(quote * 2), none)
+        at = F.position(q, rest)
+        quoted = inside | opens
+        goes_on = quoted & (at == 0)
+        broken = quoted & (at > 0) & (at < F.length(rest))
+        return F.struct(goes_on.alias("inside"), (state["broken"] | broken).alias("broken"),
+                        (state["fields"] + F.when(goes_on, 0).otherwise(1)).alias("fields"))
+
+    start = F.struct(F.lit(False).alias("inside"), F.lit(False).alias("broken"), F.lit(0).alias("fields"))
+    return F.aggregate(F.split(value, _jre(delimiter)), start, step,
+                       lambda state: ~state["inside"] & ~state["broken"] & (state["fields"] == n_fields))
+
+
+def well_formed(value: Column, n_fields: int, delimiter: str = DEFAULT_DELIMITER,
+                quote: str = DEFAULT_QUOTE) -> Column:
+    """Whether a line has ``n_fields`` fields in a sound structure; false for a null line."""
+    if n_fields <= MAX_FIELDS:
+        right = value.rlike(structure_pattern(n_fields, delimiter, quote))
+    else:
+        right = structure_scan(value, n_fields, delimiter, quote)
+    return F.coalesce(right, F.lit(False))
+
+
 def _java_float_ok(s: Column) -> Column:
     t = F.lower(F.trim(s))
     loose = t.isin(*_LOOSE_SPECIALS) & ~F.trim(s).rlike(_JAVA_SPECIALS)
@@ -91,11 +132,11 @@ def split_fields(value: Column, n_fields: int, *, delimiter: str = DEFAULT_DELIM
     """Struct ``_c0 … _c{n-1}`` of the unquoted field texts (null = empty plain field).
 
     The splitter fails a job on a line with more columns than it can hold, so pass it
-    only lines that match ``structure_pattern`` (null for any other).
+    only lines that are ``well_formed`` (null for any other).
     """
     raw_schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(n_fields)])
     opts = {"sep": delimiter, "quote": quote, "escape": quote, "nullValue": _SENTINEL,
-            "maxCharsPerColumn": "-1", "ignoreLeadingWhiteSpace": "false",
+            "maxCharsPerColumn": "-1", "maxColumns": str(max(20480, n_fields + 1)), "ignoreLeadingWhiteSpace": "false",
             "ignoreTrailingWhiteSpace": "false", "mode": "PERMISSIVE"}
     return F.from_csv(value, raw_schema.simpleString(), opts)
 
@@ -112,7 +153,7 @@ def parse_columns(value: Column, schema: T.StructType = EVENT_SCHEMA, *,
     check_supported(schema)
     n = len(schema.fields)
     if right is None:
-        right = F.coalesce(value.rlike(structure_pattern(n, delimiter, quote)), F.lit(False))
+        right = well_formed(value, n, delimiter, quote)
     parsed = fields
     if parsed is None:
         parsed = split_fields(F.when(right, value), n, delimiter=delimiter, quote=quote)
@@ -155,7 +196,7 @@ def flag_lines(lines: DataFrame, schema: T.StructType = EVENT_SCHEMA, *,
         raise ValueError(f'Unknown parse mode: "{mode}"')
     check_supported(schema)
     n = len(schema.fields)
-    right = F.coalesce(F.col(column).rlike(structure_pattern(n, delimiter, quote)), F.lit(False))
+    right = well_formed(F.col(column), n, delimiter, quote)
     src = lines.select(F.col(column).alias("__line"), right.alias("__right"))
     src = src.select("__line", "__right", split_fields(F.when(F.col("__right"), F.col("__line")), n,
                                                        delimiter=delimiter, quote=quote).alias("__f"))

@@ -1,15 +1,16 @@
-"""The three medal metrics as decomposable counts.
+"""The medal metrics as mergeable aggregate states.
 
-Every metric is ``filter → groupBy(keys).count()`` on a window of records
-(the *partial*), ``groupBy(keys).sum(count)`` over any union of partials (the
-*merge*), and a *finish* step on the merged totals (identity, top-k, or top-k
-per group). Because partials merge by plain addition, the same metric serves a
+Every metric is ``filter → groupBy(keys).agg(states)`` on a window of records (the *partial*),
+``groupBy(keys).agg(merged states)`` over any union of partials (the *merge*), the *results* of the
+states, and a *finish* step on the merged totals (identity, top-k, top-k per group, a ratio of
+two results). A state is a count unless the metric says otherwise; sums, least and greatest values
+and distinct-count sketches merge just as well. Because partials merge, the same metric serves a
 single window, a sliding window over panes, and running totals over all panes,
-and each record is counted exactly once.
+and each record is taken once.
 
-Scale notes: the partial is a hash aggregate with map-side combine, so a key that
-holds a third of all records still leaves one row per key per task before the
-shuffle. The merge input is bounded by (#panes × #keys), not by records. The
+Scale notes: the partial is a hash aggregate with map-side combine (an object-hash one for sketches), so a
+key that holds a third of all records still leaves one row per key per task before the
+shuffle. The merge input is bounded by (#panes × #keys), not by records; a sketch has a fixed size. The
 per-group ranking runs on aggregated rows and Spark adds a partial
 ``WindowGroupLimit`` before its shuffle.
 """
@@ -25,12 +26,54 @@ from pyspark.sql import functions as F
 COUNT = "count"
 
 
+@dataclass(frozen=True)
+class State:
+    """A mergeable aggregate: ``partial`` over the records for which a condition holds, ``merge`` over
+    partials (associative and commutative), ``result`` of a merged state."""
+    name: str
+    partial: Callable[[Column], Column]
+    merge: Callable[[Column], Column]
+    result: Callable[[Column], Column] = field(default=lambda state: state)
+
+
+def count_state(name: str = COUNT, where: Callable[[], Column] | None = None) -> State:
+    """Number of records, or of those that also meet ``where``."""
+    return State(name, lambda kept: F.count_if(kept & where() if where else kept),
+                 lambda state: F.sum(state).cast("bigint"))
+
+
+def sum_state(name: str, column: str) -> State:
+    """Sum of an integral or decimal column (a float's sum would depend on the order)."""
+    return State(name, lambda kept: F.sum(F.when(kept, F.col(column))), lambda state: F.sum(state))
+
+
+def min_state(name: str, column: str) -> State:
+    return State(name, lambda kept: F.min(F.when(kept, F.col(column))), F.min)
+
+
+def max_state(name: str, column: str) -> State:
+    return State(name, lambda kept: F.max(F.when(kept, F.col(column))), F.max)
+
+
+#: Buckets of a distinct-count sketch, as a power of two: a relative standard error of 0.8 %, at most 16 KB a state.
+SKETCH_BITS = 14
+
+
+def distinct_state(name: str, column: str, bits: int = SKETCH_BITS) -> State:
+    """Estimated number of distinct non-null values (a HyperLogLog sketch)."""
+    return State(name, lambda kept: F.hll_sketch_agg(F.when(kept, F.col(column)), bits),
+                 F.hll_union_agg, lambda state: F.hll_sketch_estimate(state))
+
+
+COUNT_STATE = count_state()
+
+
 @dataclass(frozen=True)
 class Metric:
-    """A named count metric.
+    """A named metric.
 
-    ``predicate`` builds the record filter, ``order`` the (deterministic) output
-    order of the per-window result, ``finish`` turns merged totals into the
+    ``predicate`` builds the record filter, ``states`` are what it aggregates, ``order`` the (deterministic)
+    output order of the per-window result, ``finish`` turns merged totals into the
     global result.
     """
     id: str
@@ -38,26 +81,32 @@ class Metric:
     predicate: Callable[[], Column]
     order: Callable[[], list[Column]] = field(default=lambda: [])
     finish: Callable[[DataFrame], DataFrame] = field(default=lambda df: df)
+    states: tuple[State, ...] = (COUNT_STATE,)
 
     def partial(self, records: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
-        """Per-window counts: ``extra_keys`` (e.g. pane columns) + keys → count."""
+        """Per-window states: ``extra_keys`` (e.g. pane columns) + keys → one column for each state."""
         return (records.where(self.predicate())
                 .groupBy(*extra_keys, *self.keys)
-                .agg(F.count(F.lit(1)).alias(COUNT)))
+                .agg(*[s.partial(F.lit(True)).alias(s.name) for s in self.states]))
+
+    def results(self, partials: DataFrame) -> DataFrame:
+        """States → results; other columns stay."""
+        done = {s.name: s.result(F.col(s.name)).alias(s.name) for s in self.states}
+        return partials.select(*[done.get(c, F.col(c)) for c in partials.columns])
 
     def local(self, records: DataFrame) -> DataFrame:
-        """The per-window output: partial counts in the metric's output order."""
-        out = self.partial(records)
+        """The per-window output: results of the partial in the metric's output order."""
+        out = self.results(self.partial(records))
         order = self.order()
         return out.orderBy(*order) if order else out
 
     def merge(self, partials: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
-        """Sum partial counts by key; the result column stays ``count``."""
+        """Merged states by key, under the same names."""
         return (partials.groupBy(*extra_keys, *self.keys)
-                .agg(F.sum(COUNT).cast("bigint").alias(COUNT)))
+                .agg(*[s.merge(F.col(s.name)).alias(s.name) for s in self.states]))
 
     def global_result(self, partials: DataFrame) -> DataFrame:
-        return self.finish(self.merge(partials))
+        return self.finish(self.results(self.merge(partials)))
 
 
 GROUPING = "_grouping"
@@ -73,19 +122,25 @@ def _grouping_ids(metrics: Sequence[Metric]) -> tuple[list[str], dict[str, int]]
     return cols, gid
 
 
+def _state_columns(metrics: Sequence[Metric]) -> list[tuple[str, Metric, State]]:
+    """(column, metric, state) of the combined form; each metric has its count, which tells groups it kept nothing in."""
+    return [(f"{s.name}_{m.id}", m, s) for m in metrics
+            for s in (COUNT_STATE, *[s for s in m.states if s.name != COUNT])]
+
+
 ROWS = "_rows"
 VALID = "_valid"
 
 
 def combined_partials(records: DataFrame, metrics: Sequence[Metric],
                       valid: Column | None = None) -> DataFrame:
-    """All metrics' partial counts in one aggregation (GROUPING SETS).
+    """All metrics' partial states in one aggregation (GROUPING SETS).
 
-    Each record is read once and counted by the union of all keys; only that smaller
+    Each record is read once and aggregated by the union of all keys; only that smaller
     result is rolled up to the grouping sets, which are the metrics' key sets. Each metric
-    counts only the records its predicate keeps (and, when given, only rows where ``valid``
+    takes only the records its predicate keeps (and, when given, only rows where ``valid``
     is true). The result holds, per grouping set, the
-    keys and one ``count_<id>`` column per metric — use ``split_partial`` to take
+    keys and ``<state>_<id>`` columns of every metric — use ``split_partial`` to take
     out one metric's partial — plus ``_rows`` / ``_valid`` row counts.
     """
     cols, _ = _grouping_ids(metrics)
@@ -96,12 +151,17 @@ def combined_partials(records: DataFrame, metrics: Sequence[Metric],
         # Keys of invalid rows are meaningless: fold them into the null keys so
         # that malformed input can't create groups.
         records = records.withColumns({c: F.when(valid, F.col(c)) for c in cols})
-    kept = {f"{COUNT}_{m.id}": ok & F.coalesce(m.predicate(), F.lit(False)) for m in metrics}
-    counted = records.groupBy(*cols).agg(*[F.count_if(c).alias(name) for name, c in kept.items()],
+    states = _state_columns(metrics)
+    kept = {m.id: ok & F.coalesce(m.predicate(), F.lit(False)) for m in metrics}
+    counted = records.groupBy(*cols).agg(*[s.partial(kept[m.id]).alias(name) for name, m, s in states],
                                          F.count(F.lit(1)).alias(ROWS), F.count_if(ok).alias(VALID))
     return (counted.groupingSets(sets, *cols)
-            .agg(F.grouping_id(*cols).alias(GROUPING),
-                 *[F.sum(name).cast("bigint").alias(name) for name in (*kept, ROWS, VALID)]))
+            .agg(F.grouping_id(*cols).alias(GROUPING), *_merged(states)))
+
+
+def _merged(states: Sequence[tuple[str, Metric, State]]) -> list[Column]:
+    return [*[s.merge(F.col(name)).alias(name) for name, _, s in states],
+            *[F.sum(name).cast("bigint").alias(name) for name in (ROWS, VALID)]]
 
 
 def row_counts(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
@@ -113,16 +173,13 @@ def row_counts(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
 
 
 def merge_combined(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
-    """Sum any union of ``combined_partials`` results, set by set."""
+    """Merge any union of ``combined_partials`` results, set by set."""
     cols, _ = _grouping_ids(metrics)
-    return (combined.groupBy(GROUPING, *cols)
-            .agg(*[F.sum(f"{COUNT}_{m.id}").cast("bigint").alias(f"{COUNT}_{m.id}")
-                   for m in metrics],
-                 F.sum(ROWS).cast("bigint").alias(ROWS), F.sum(VALID).cast("bigint").alias(VALID)))
+    return combined.groupBy(GROUPING, *cols).agg(*_merged(_state_columns(metrics)))
 
 
 def nonzero(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
-    """Drop groups in which no metric counted anything (they add nothing to a merge)."""
+    """Drop groups in which no metric kept a record (they add nothing to a merge)."""
     cond = None
     for m in metrics:
         c = F.coalesce(F.col(f"{COUNT}_{m.id}"), F.lit(0)) > 0
@@ -131,11 +188,11 @@ def nonzero(combined: DataFrame, metrics: Sequence[Metric]) -> DataFrame:
 
 
 def split_partial(combined: DataFrame, metrics: Sequence[Metric], metric: Metric) -> DataFrame:
-    """One metric's partial (keys…, count) from ``combined_partials``."""
+    """One metric's partial (keys…, states…) from ``combined_partials``."""
     _, gid = _grouping_ids(metrics)
     c = F.col(f"{COUNT}_{metric.id}")
     return (combined.where((F.col(GROUPING) == gid[metric.id]) & (c > 0))
-            .select(*metric.keys, c.cast("bigint").alias(COUNT)))
+            .select(*metric.keys, *[F.col(f"{s.name}_{metric.id}").alias(s.name) for s in metric.states]))
 
 
 def top_k(df: DataFrame, k: int, order: list[Column]) -> DataFrame:
@@ -204,9 +261,29 @@ TOP_10_COUNTRIES_PER_YEAR = Metric(
 
 METRICS: tuple[Metric, ...] = (MEDALS_BY_YEAR, TOP_10_CITIES, TOP_10_COUNTRIES_PER_YEAR)
 
+# Metrics of other states than one count; a job takes them through its ``metrics`` setting.
+
+AGES_BY_YEAR = Metric(
+    id="ages_by_year",
+    keys=("year",),
+    predicate=lambda: has_year() & has_medal(),
+    states=(count_state("aged", lambda: F.col("age").isNotNull()), min_state("youngest", "age"),
+            max_state("oldest", "age"), sum_state("years_of_age", "age")),
+    finish=lambda df: df.withColumn("mean_age", F.col("years_of_age") / F.col("aged")),
+)
+
+ATHLETES_BY_CITY = Metric(
+    id="athletes_by_city",
+    keys=("city",),
+    predicate=lambda: has_city() & has_medal(),
+    states=(COUNT_STATE, distinct_state("athletes", "id")),
+)
+
+EXTRA_METRICS: tuple[Metric, ...] = (AGES_BY_YEAR, ATHLETES_BY_CITY)
+
 
 def by_id(metric_id: str) -> Metric:
-    for m in METRICS:
+    for m in (*METRICS, *EXTRA_METRICS):
         if m.id == metric_id:
             return m
     raise KeyError(metric_id)

@@ -160,3 +160,63 @@ FROM (SELECT year, region, count,
             GROUP BY year, region) g) t
 WHERE region_rank <= 10
 """
+
+# Windows of two slides: their cities with the batch's stamp, and the gold medals as dumped.
+ORACLE_SQL["stream_window_stamps"] = _ACH + f"""
+SELECT CAST(epoch_us(TIMESTAMP '2024-01-01 00:00:00') + b * 10000000 AS BIGINT) AS stamp, city, CAST(COUNT(*) AS BIGINT) AS count
+FROM ach JOIN (SELECT unnest(range(0, 4)) AS b) w ON orderkey % 4 IN (b - 1, b)
+WHERE {_VARIANT} > 10 AND city IS NOT NULL AND medal IS NOT NULL GROUP BY 1, 2
+"""
+ORACLE_SQL["stream_dumps"] = _ACH + f"""
+SELECT CAST(b AS BIGINT) AS batch_id, year, region, CAST(COUNT(*) AS BIGINT) AS count
+FROM ach JOIN (SELECT unnest(range(0, 4)) AS b) w ON orderkey % 4 IN (b - 1, b)
+WHERE {_VARIANT} > 10 AND year IS NOT NULL AND region IS NOT NULL AND medal IS NOT NULL AND lower(medal) = 'gold'
+GROUP BY 1, 2, 3
+"""
+# Parts 0 to 3 come in slides 0, 1, 4 and 5; a slide's window is the last three slides, if they hold anything.
+ORACLE_SQL["stream_idle_windows"] = _ACH + f"""
+SELECT CAST(t AS BIGINT) AS slide, year, CAST(COUNT(*) AS BIGINT) AS count
+FROM (SELECT *, orderkey % 4 + CASE WHEN orderkey % 4 >= 2 THEN 2 ELSE 0 END AS s FROM ach) a
+JOIN (SELECT unnest(range(0, 8)) AS t) w ON s BETWEEN t - 2 AND t
+WHERE {_VARIANT} > 10 AND year IS NOT NULL AND medal IS NOT NULL GROUP BY 1, 2
+"""
+ORACLE_SQL["stream_catalog_global"] = ORACLE_SQL["medals_by_year_from_lines"]
+ORACLE_SQL["stream_ages_by_year"] = f"""
+SELECT year, CAST(COUNT(age) AS BIGINT) AS aged, MIN(age) AS youngest, MAX(age) AS oldest,
+       CAST(SUM(age) AS BIGINT) AS years_of_age, CAST(SUM(age) AS DOUBLE) / COUNT(age) AS mean_age
+FROM ({_ACCEPTED}) a WHERE year IS NOT NULL AND medal IS NOT NULL GROUP BY year
+"""
+ORACLE_SQL["stream_distinct_athletes"] = f"""
+SELECT city, CAST(COUNT(*) AS BIGINT) AS count, CAST(COUNT(DISTINCT id) AS BIGINT) AS athletes, true AS close
+FROM ({_ACCEPTED}) a WHERE city IS NOT NULL AND medal IS NOT NULL GROUP BY city
+"""
+# A byte behind a closing quote (variant 15 quotes all fields) makes the line malformed.
+ORACLE_SQL["stream_binary_messages"] = _ACH + f"""
+SELECT id, year, city,
+       CASE WHEN orderkey % 13 = 0 THEN coalesce(notes, 'NA') || chr(65533) ELSE notes END AS notes
+FROM ach WHERE {_VARIANT} > 10 AND orderkey % 50 <> 0 AND NOT ({_VARIANT} = 15 AND orderkey % 13 = 0)
+"""
+
+# Files 0 to 3 arrive in turn; before each, the watermark is the greatest day of the files before less the delay.
+ORACLE_SQL["stream_late_rows"] = _ACH + """
+, r AS (
+  SELECT year, CAST(ts AS DATE) - DATE '1970-01-01' AS day,
+         CAST(least(3, floor((CAST(ts AS DATE) - DATE '1970-01-01' - 8036) / 700.0)
+                       + CASE WHEN orderkey % 7 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS part
+  FROM ach WHERE year IS NOT NULL AND medal IS NOT NULL),
+f AS (SELECT part, max(day) AS newest FROM r GROUP BY part),
+m AS (SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30 AS mark FROM f),
+e AS (SELECT max(newest) - 30 AS mark FROM f),
+p AS (
+  SELECT r.year, CAST(floor(r.day / 7.0) * 7 AS INTEGER) AS pane,
+         coalesce(floor(r.day / 7.0) * 7 + 7 <= m.mark, false) AS late
+  FROM r JOIN m ON m.part = r.part),
+w AS (
+  SELECT year, pane - 7 * i AS s FROM p JOIN (SELECT unnest(range(0, 2)) AS i) x ON true WHERE NOT late)
+SELECT CASE WHEN s + 14 <= mark THEN 'closed' ELSE 'open' END AS kind,
+       CAST(DATE '1970-01-01' + CAST(s AS INTEGER) AS DATE) AS start, year, CAST(COUNT(*) AS BIGINT) AS count
+FROM w, e GROUP BY 1, 2, 3
+UNION ALL
+SELECT 'late' AS kind, CAST(DATE '1970-01-01' + pane AS DATE) AS start, year, CAST(COUNT(*) AS BIGINT) AS count
+FROM p WHERE late GROUP BY 1, 2, 3
+"""

@@ -74,6 +74,15 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a path on the cluster file system, making the target's parent folders."""
+    fs, p = _fs(spark, source)
+    to = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def set_arrival(spark: SparkSession, folders: list[str]) -> None:
     """Give the files of each folder a modification time one second after the folder before,
     the order in which a file stream takes them."""
@@ -101,5 +110,40 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> list[int]:
     return sorted(out)
 
 
-__all__ = ["build_session", "set_arrival", "work_dir", "scratch_path", "exists", "delete",
-           "list_partitions"]
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if it isn't there."""
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def read_small_file(spark: SparkSession, path: str) -> str:
+    """Text of one small file (a manifest)."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def write_small_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file (a manifest) that appears whole: written under a hidden name, then renamed."""
+    fs, p = _fs(spark, path)
+    hidden = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex[:8]}")
+    stream = fs.create(hidden, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(hidden, p):
+        raise OSError(f"cannot rename to {path}")
+
+
+__all__ = ["build_session", "child_names", "move", "read_small_file", "set_arrival", "size_of", "work_dir", "scratch_path",
+           "exists", "delete", "list_partitions", "write_small_file"]

@@ -58,13 +58,48 @@ def append_table(df: DataFrame, table: str, batch_id: int, fmt: str = "parquet",
         rows.writeTo(table).append()
 
 
-def overwrite_table(df: DataFrame, table: str, fmt: str = "parquet",
-                    options: Mapping[str, str] | None = None) -> None:
-    """Replace a catalog table's contents."""
+def _version_tables(spark: SparkSession, name: str) -> dict[int, str]:
+    """version → name of the tables ``<name>_v<version>`` (a catalog's listing by pattern)."""
+    database, _, table = name.rpartition(".")
+    prefix = f"{table}_v".lower()
+    found = spark.catalog.listTables(database or None, f"{table}_v*")
+    ends = {t.name[len(prefix):]: t.name for t in found if t.name.lower().startswith(prefix) and not t.isTemporary}
+    return {int(end): f"{database}.{t}" if database else t for end, t in ends.items() if end.isdigit()}
+
+
+def replace_table(df: DataFrame, name: str, version: int, keep_versions: int = 3, fmt: str = "parquet",
+                  options: Mapping[str, str] | None = None) -> None:
+    """Replace what ``name`` shows, at once: write a table of this version, then point the view at it.
+
+    ``name`` is a view over the table ``<name>_v<version>``. Until ``CREATE OR REPLACE VIEW``, a single change in
+    the catalog, readers see the version before, and a failure before it changes nothing for them. A retry of
+    the same version replaces that version only. The newest ``keep_versions`` tables stay for readers that have
+    already resolved the view. A plain table under ``name`` becomes its own version 0 first.
+    """
+    spark = df.sparkSession
+    before = {}
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "VIEW":
+            before = _version_tables(spark, name)
+        else:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {name}_v0")
+            spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}_v0")
+            before = {0: f"{name}_v0"}
     w = df.write.format(fmt).mode("overwrite")
     for k, v in (options or {}).items():
         w = w.option(k, v)
-    w.saveAsTable(table)
+    w.saveAsTable(f"{name}_v{version}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}_v{version}")
+    older = sorted((v for v in before if v < version), reverse=True)
+    for v in older[max(keep_versions - 1, 0):]:
+        spark.sql(f"DROP TABLE IF EXISTS {before[v]}")
+
+
+def drop_replaced(spark: SparkSession, name: str) -> None:
+    """Drop a view made by ``replace_table`` and all its versions."""
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    for table in _version_tables(spark, name).values():
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 def read_latest(spark: SparkSession, path: str, fmt: str = "parquet",

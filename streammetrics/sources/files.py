@@ -50,19 +50,28 @@ def read_lines(spark: SparkSession, path: str, header: str | None = None) -> Dat
 
 def read_stream(spark: SparkSession, fmt: str = "text", path: str | None = None,
                 options: Mapping[str, str] | None = None,
-                payload: str = "value") -> DataFrame:
+                payload: str = "value", schema: str | T.StructType | None = None) -> DataFrame:
     """A message stream as ``value STRING``, one record per message.
 
     ``fmt`` is any streaming source present on the cluster (``text`` directory
     locally; ``kafka`` or another queue connector when deployed — its payload
     column is decoded as UTF-8 with invalid bytes replaced). Null messages are
     dropped. ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger`` in ``options``
-    bound how much one micro-batch pulls.
+    bound how much one micro-batch pulls. ``schema`` is that of message files
+    which carry none for a stream (parquet, json, …).
     """
     r = spark.readStream.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load(path) if path is not None else r.load()
     col = F.col(payload)
     text = col if isinstance(df.schema[payload].dataType, T.StringType) else decode_payload(col)
     return df.select(text.alias("value")).where(F.col("value").isNotNull())
+
+
+def clock_ticks(spark: SparkSession) -> DataFrame:
+    """A stream with one row in every micro-batch, whatever other sources have: beside them it makes a
+    batch of each trigger. A run over what is there (``availableNow``) has one tick."""
+    return (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load())
