@@ -3,6 +3,7 @@ import zlib
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from streammetrics.llm import bestfit as B
@@ -14,6 +15,11 @@ def tokenizer():
     return Tokenizer.from_file(B.default_tokenizer())
 
 
+def encoded(coder, texts):
+    ids, bounds = coder.batch(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+
+
 def check(docs, pieces, window=B.WINDOW):
     """Every id in one piece, only long documents cut, gapless sequences that fit; returns (sequences, least possible)."""
     tok = tokenizer()
@@ -50,16 +56,23 @@ def test_encoding_by_words_equals_whole():
     for limit in (B.WordEncoder.LIMIT, 50, 3):
         coder.LIMIT = limit
         for at in range(0, len(texts), 100):
-            for t, got, ids in zip(texts[at:at + 100], coder.batch(texts[at:at + 100]), want[at:at + 100]):
-                assert np.frombuffer(got, "<u4").tolist() == ids, repr(t)
+            for t, got, ids in zip(texts[at:at + 100], encoded(coder, texts[at:at + 100]), want[at:at + 100]):
+                assert got == ids, repr(t)
 
 
 def test_latin_letters_are_words_of_their_own():
     coder, tok = B.WordEncoder(B.default_tokenizer()), tokenizer()
     letters = [chr(c) for c in range(0x21, 0x250)]
     texts = [f"{c} x{c} {c}x x{c}x ({c})" for c in letters]
-    for t, got in zip(texts, coder.batch(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
+    for t, got in zip(texts, encoded(coder, texts)):
+        assert got == tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_slices_keep_every_row():
+    batch = pa.RecordBatch.from_pydict({"i": list(range(7)), "t": ["a" * 10, None, "é" * 30, "", "b" * 99, "c", "d"]})
+    for size in (1, 20, 1000):
+        got = [(i, t) for ids, texts in B.slices(iter([batch, batch.slice(0, 0)]), size) for i, t in zip(ids, texts.to_pylist())]
+        assert got == list(zip(*batch.to_pydict().values()))
 
 
 def test_pricing_equals_all_fillings():
