@@ -5,13 +5,13 @@ makes one of the other. Of a pair, the shorter word (either, if equally long) gi
 chunks of half its length, its first and its last q code points. The edit touches at most one of them, so the
 other stands unchanged in the longer word, shifted by one place at most. The longer word
 therefore gives its positional q-grams, for the q of each length its partners may have; only grams within
-shift one of a chunk's place can join, and only those are emitted. Chunks join grams on
-(length of the shorter word, chunk, gram), and each pair is verified.
+shift one of a chunk's place can join, and only those are emitted. What lies outside the unchanged chunk holds the
+edit and is treated the same way: of its own two disjoint chunks one is unchanged. Both
+together, about three quarters of a word, are the key on which chunks join grams, and each pair is verified.
 
-The joined rows are vocabulary, not text, and a key is half a word long, so keys get longer with the words
-they must tell apart. A key that many words share is split: its grams are dealt over
-blocks of about ``BLOCK`` by hash and its chunks are copied once a block. Verification is part of
-the join, so no candidate pair leaves it.
+The joined rows are vocabulary, not text, and keys get longer with the words they must tell apart. A key
+that many words share is split: its grams are dealt over blocks of about ``BLOCK`` by hash and
+its chunks are copied once a block. Verification is part of the join, so no candidate pair leaves it.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import zlib
 from collections import Counter
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streammetrics.llm.common import materialize, table, text_batches
@@ -86,12 +86,34 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return parts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
 
 
+def _signatures(size: Column, less: int) -> list[tuple[Column, Column, Column, Column]]:
+    """(start, length, start, length) of the unchanged chunk and of the unchanged chunk of the rest, from 1, in a
+    word ``less`` code points longer than ``size``; ``size`` and places are those of the shorter word's chunks.
+
+    The first half doesn't shift, the last half shifts by all of ``less``; the chunk of the rest by any number up to it.
+    """
+    q = F.floor(size / 2).cast("int")
+    u = F.floor((size - q) / 2).cast("int")
+    out = []
+    for start, rest in ((F.lit(1), q + 1), (size - q + 1 + less, F.lit(1))):
+        for inner in (rest, rest + size - q - u):
+            out += [(start, q, inner + shift, u) for shift in range(less + 1)]
+    return out
+
+
+def _keys(less: int) -> list[Column]:
+    """Keys of the column ``word`` towards words ``less`` code points shorter."""
+    size = F.length("word") - less
+    keys = []
+    for i, (start, q, inner, u) in enumerate(_signatures(size, less)):
+        gram = F.concat(F.substring(F.col("word"), start, q), F.substring(F.col("word"), inner, u))
+        keys.append(F.struct(size.alias("size"), F.lit(i // (less + 1)).alias("chunk"), gram.alias("gram")))
+    return keys
+
+
 def chunks(words: DataFrame) -> DataFrame:
-    """(size, chunk, gram, word, n): the first and the last half of each word."""
-    q = F.expr("length(word) div 2")
-    return words.select(F.length("word").alias("size"), "word", "n", F.posexplode(F.array(
-        F.substring(F.col("word"), F.lit(1), q), F.substring(F.col("word"), F.length("word") - q + 1, q)))
-    ).withColumnsRenamed({"pos": "chunk", "col": "gram"})
+    """(size, chunk, gram, word, n): each half of a word with each half of its rest."""
+    return words.select("word", "n", F.explode(F.array(*_keys(0))).alias("key")).select("key.*", "word", "n")
 
 
 def grams(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
@@ -99,16 +121,10 @@ def grams(words: DataFrame, min_length: int = MIN_LENGTH) -> DataFrame:
 
     A partner is as long (its chunks don't shift) or one code point shorter (they shift by none or by one).
     """
-    keys = []
-    for less in (0, 1):
-        size, q = F.length("word") - less, F.expr(f"(length(word) - {less}) div 2")
-        for chunk, start in ((0, F.lit(1)), (1, size - q + 1)):
-            for shift in range(less + 1):
-                gram = F.struct(size.alias("size"), F.lit(chunk).alias("chunk"),
-                                F.substring(F.col("word"), start + shift, q).alias("gram"))
-                keys.append(F.when(size >= min_length, gram))
-    return (words.select("word", "n", F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
-            .select("key.*", "word", "n"))
+    longer = F.when(F.length("word") > min_length, F.array(*_keys(1))).otherwise(F.array().cast(
+        "array<struct<size:int,chunk:int,gram:string>>"))
+    keys = F.array_distinct(F.concat(F.array(*_keys(0)), longer))
+    return words.select("word", "n", F.explode(keys).alias("key")).select("key.*", "word", "n")
 
 
 def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH, block: int = BLOCK) -> DataFrame:
@@ -125,12 +141,9 @@ def near_pairs(words: DataFrame, min_length: int = MIN_LENGTH, block: int = BLOC
     left = left.join(hot, key, "left").select(
         *key, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.col("word").alias("a"), F.col("n").alias("n_a"))
     a, b = F.col("a"), F.col("b")
-    q, longer = F.expr("length(a) div 2"), F.length("b") > F.length("a")
-    first = F.substring(a, F.lit(1), q)
-    # A pair that joins by its first chunk is not taken again by its last.
-    by_first = (F.substring(b, F.lit(1), q) == first) | (longer & (F.substring(b, F.lit(2), q) == first))
-    near = ((longer | (a < b)) & ((F.col("chunk") == 0) | ~by_first) & (F.levenshtein(a, b, 1) == 1))
-    return left.join(right, [*key, "block"]).where(near).select("a", "n_a", "b", "n_b")
+    near = ((F.length(b) > F.col("size")) | (a < b)) & (F.levenshtein(a, b, 1) == 1)
+    # Words that agree in more than one chunk meet once for each.
+    return left.join(right, [*key, "block"]).where(near).select("a", "n_a", "b", "n_b").distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -159,7 +172,7 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     words, no rows.
     """
     if min_length < 4:
-        raise ValueError("two disjoint chunks of two code points need words of four")
+        raise ValueError("words of fewer than four code points have no chunks of a rest")
     words = materialize(word_counts(docs, id_col, text_col, min_length, min_count, slip), "words")
     pairs = near_pairs(words, min_length, block)
     both = pairs.select(F.explode(F.array(
