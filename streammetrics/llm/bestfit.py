@@ -16,25 +16,20 @@ carries its CRC from the start, so documents are tokenized once and their ids ar
 
 from __future__ import annotations
 
-import os
-import re
-import string
 import zlib
-from array import array
 from bisect import bisect_left, insort
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streammetrics.llm.common import materialize, table
+from streammetrics.llm.tokens import WordEncoder, slices
 
 WINDOW = 4096
 UNIT = 2            # lengths are counted in bins of this many tokens
@@ -45,7 +40,6 @@ NEAR = 0.9          # of the best configuration's weight, what the others need
 ROUNDS = 1500       # pricings, at most; what is uncovered then is left over
 COVERED = 0.995     # share of all tokens whose cover ends the solution
 GROUP = 20_000      # pieces that one task ranks and packs
-SLICE = 8 << 20     # bytes of text that are encoded together
 END = 1             # id that ends each document
 
 
@@ -54,121 +48,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(values of the numbered runs one after the other, where each begins and the last ends)."""
-    starts = np.cumsum(sizes) - sizes
-    size = sizes[numbers]
-    bounds = np.append(0, np.cumsum(size))
-    return values[np.repeat(starts[numbers] - bounds[:-1], size) + np.arange(bounds[-1])], bounds
-
-
-class WordEncoder:
-    """texts → ids, equal to encoding each text at once.
-
-    For a tokenizer that drops white space and splits words from punctuation, whose tokens show the end of
-    a word. The chunks between ASCII white space are then encoded independently of each other, and a chunk of Latin
-    letters with ASCII punctuation around them is its letters' ids between those of its punctuation; any other
-    chunk is encoded as it is. Arrow splits a batch of texts and numbers its distinct chunks and their parts; only
-    distinct parts are looked up in a bounded cache, new ones are encoded together and parted
-    at the ends of words, and the texts' ids are gathered by the numbers.
-    """
-
-    LIMIT = 600_000     # entries of the cache
-    LONGEST = 64        # characters of a part that is kept
-    TOGETHER = 512      # new words in one call
-
-    _PUNCTUATION = string.punctuation.replace("'", "")      # 's and the like are tokens of their own
-    _LETTERS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"                      # without İ, whose lower case is two code points
-    _WORD = re.compile(_LETTERS).fullmatch
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.parts: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _encode(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of distinct parts; words and punctuation are encoded many at a time."""
-        found = {}
-        plain = []
-        for part in new:
-            if "<|" not in part and (self._WORD(part) or not part.strip(self._PUNCTUATION)):
-                plain.append(part)
-            else:                              # "<|" may begin a special token
-                found[part] = self.whole(part)
-        for at in range(0, len(plain), self.TOGETHER):
-            some = plain[at:at + self.TOGETHER]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) == len(some) and ends[-1] == len(ids):
-                data, begin = ids.tobytes(), 0
-                for part, end in zip(some, (4 * ends).tolist()):
-                    found[part], begin = data[begin:end], end
-            else:
-                found.update((p, self.whole(p)) for p in some)
-        return found
-
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        if len(self.parts) > self.LIMIT:       # without the older half; common parts come back at their next use
-            self.parts = dict(islice(self.parts.items(), len(self.parts) // 2, None))
-        known = self.parts
-        known[""] = b""
-        found = self._encode([p for p in parts if p not in known])
-        out = [known[p] if p in known else found[p] for p in parts]
-        known.update((p, ids) for p, ids in found.items() if len(p) <= self.LONGEST)
-        return out
-
-    def _split(self, chunks: pa.LargeStringArray) -> pa.LargeStringArray:
-        """Three parts of each chunk, over the chunks' own bytes: what is before the word, the word, what is behind it."""
-        word = pc.utf8_trim(chunks, self._PUNCTUATION)
-        plain = pc.and_(pc.match_substring_regex(word, f"^{self._LETTERS}$"), pc.invert(pc.match_substring(chunks, "<|")))
-        plain = plain.to_numpy(zero_copy_only=False)
-        length = pc.binary_length(chunks).to_numpy()
-        to_end = pc.binary_length(pc.utf8_rtrim(chunks, self._PUNCTUATION)).to_numpy()
-        begin = np.where(plain, to_end - pc.binary_length(word).to_numpy(), 0)
-        start = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
-        cuts = np.empty(3 * len(chunks) + 1, np.int64)
-        cuts[0::3], cuts[1::3] = start, start[:-1] + begin
-        cuts[2::3] = start[:-1] + np.where(plain, to_end, length)
-        return pa.LargeStringArray.from_buffers(3 * len(chunks), pa.py_buffer(cuts), chunks.buffers()[2])
-
-    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, where each text's begin and the last's end); a null text has none."""
-        lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-        chunks = lists.flatten().dictionary_encode()
-        parts = self._split(chunks.dictionary).dictionary_encode()
-        found = self._ids(parts.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids, bounds = gather(np.frombuffer(b"".join(found), "<u4"), sizes, parts.indices.to_numpy())
-        ids, bounds = gather(ids, np.diff(bounds[::3]), chunks.indices.to_numpy())
-        at = lists.offsets.to_numpy()
-        return ids, bounds[at - at[0]]
-
-
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """The process's encoder of a tokenizer file; its caches outlive a task."""
     return WordEncoder(path)
 
 
-def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[tuple[list, pa.Array]]:
-    """(ids, texts) of Arrow batches whose first two columns are id and text, about ``size`` bytes of text at a time."""
-    for batch in batches:
-        at, held = 0, 0
-        widths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
-        for row, width in enumerate(widths, 1):
-            held += width
-            if held >= size or row == len(widths):
-                yield batch.column(0).slice(at, row - at).to_pylist(), batch.column(1).slice(at, row - at)
-                at, held = row, 0
-
-
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, window: int) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, full): ``full`` numbers the whole windows and is null for other pieces."""
     from pyspark.sql.pandas.types import to_arrow_type

@@ -14,9 +14,7 @@ that grid follows; documents are tokenized once.
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -25,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from streammetrics.llm.common import materialize, table, text_batches
+from streammetrics.llm.common import materialize, table
+from streammetrics.llm.tokens import ByteEncoder, slices
 
 WINDOW = 2048
 UNIT = 8            # remainder lengths are counted in bins of this many tokens
@@ -46,51 +45,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoder:
-    """texts → little-endian unsigned 32-bit ids, equal to encoding each text at once.
-
-    Byte-level pre-tokenization never joins across a single space before a non-space, so a text
-    is encoded chunk by chunk, each but the first with its leading space, through a bounded
-    cache; new chunks of many texts are encoded together. A text with a chunk that is empty or
-    begins or ends with white space is encoded whole.
-    """
-
-    LIMIT = 600_000   # cached chunks
-
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer = _tokenizer(path)
-        self.chunks: dict[str, bytes] = {}   # a text's first chunk is kept with a zero character before it
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _fill(self, wanted: set[str]) -> None:
-        if len(self.chunks) + len(wanted) > self.LIMIT:
-            self.chunks.clear()
-        learn = [c for c in wanted - self.chunks.keys() if c and not c[0].isspace() and not c[-1].isspace()]
-        texts = [c[1:] if c[0] == "\0" else " " + c for c in learn]
-        for c, e in zip(learn, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.chunks[c] = array("I", e.ids).tobytes()
+class Encoder(ByteEncoder):
+    """texts → little-endian unsigned 32-bit ids, equal to encoding each text at once."""
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        parts = []
-        wanted: set[str] = set()
-        for text in texts:
-            if "\0" in text or text[:1].isspace():
-                parts.append(None)
-                continue
-            p = ("\0" + text).split(" ")
-            wanted.update(p)
-            parts.append(p)
-        self._fill(wanted)
-        out = []
-        for text, p in zip(texts, parts):
-            try:
-                out.append(self.whole(text) if p is None else b"".join(map(self.chunks.__getitem__, p)))
-            except KeyError:
-                out.append(self.whole(text))
-        return out
+        ids, bounds = super().batch(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -120,9 +80,9 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str)
         encode = encoder(tokenizer_path).batch
         end = np.array([END], "<u4").tobytes()
         step, window = 4 * GRID, 4 * WINDOW
-        for ids, texts in text_batches(batches):
+        for ids, texts in slices(batches):
             tokens, full, prefix = [], [], []
-            for b in encode(texts):
+            for b in encode(texts.to_pylist()):
                 b += end
                 cut = len(b) // window * window
                 tokens.append(len(b) // 4)
