@@ -1,9 +1,11 @@
 """Personal data with offset-preserving deobfuscation (operator 9).
 
-Plain identifiers are found on the source text. Then small transducers rewrite it: homoglyphs to
-the ASCII characters they look like, spelled digits to digits, disguised ``at`` and ``dot`` to
-``@`` and ``.``. Every rewritten stretch keeps its source offsets, so an identifier found in
-the normalised text maps back to a span of source characters.
+Plain identifiers are found on the source text. Then transducers rewrite it one after the other: hidden
+characters go first, so that they can't part what the others look for; then homoglyphs become the ASCII
+characters they look like; then spelled digits become digits, disguised ``at`` and ``dot`` become ``@`` and ``.``. Each
+keeps the offsets of what it rewrites, so an identifier found in the normalised text maps back through all of them to a
+span of source characters. It is listed beside the plain ones, also where it contains or overlaps one, unless
+it lies within one.
 """
 
 from __future__ import annotations
@@ -89,29 +91,47 @@ def _homoglyphs() -> dict[int, str]:
 
 
 HOMOGLYPHS = _homoglyphs()
-_HIDDEN = "​‌‍⁠﻿­"
-_ODD = re.compile("[" + _HIDDEN + "".join(map(chr, HOMOGLYPHS)).replace("-", "") + "]")
+#: Characters that show nothing: zero-width, joiners, marks of direction, soft hyphen.
+_HIDDEN = "\u200e\u200f\u2061\u2062\u2063\u2064\u200b\u200c\u200d\u2060\ufeff\u00ad"
+_HIDDEN_RUN = re.compile(f"[{_HIDDEN}]+")
+_ODD = re.compile("[" + "".join(map(chr, HOMOGLYPHS)).replace("-", "") + "]")
 DIGIT_WORDS = {w: str(i % 10) for i, w in enumerate(
     ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"))}
 _WORD = "(?:" + "|".join(DIGIT_WORDS) + ")"
 _NUMBER = f"(?:{_WORD}|[0-9]+)"
 # blanks are taken from the first of their run on, which keeps long runs linear
 _OPEN, _CLOSE = r"(?:(?<!\s)\s+)?[\[({<]\s*", r"\s*[\])}>]\s*"
-_DOT_RULE = rf"{_OPEN}(?:dot|punkt|punto|point|\.){_CLOSE}|(?<=[a-z0-9])\s+dot\s+(?=[a-z0-9])"
+_DOT_RULE = (rf"{_OPEN}(?:dot|punkt|punto|point|\.){_CLOSE}|(?<=[a-z0-9])\s+(?:dot|\.)\s+(?=[a-z0-9])"
+             r"|(?<=[a-z0-9])_dot_(?=[a-z0-9])")
 _RULES = re.compile(
-    rf"(?P<hidden>[{_HIDDEN}]+)"
-    rf"|(?P<at>{_OPEN}(?:at|@|arroba){_CLOSE}|(?<!\s)\s+@\s+|(?<=\w)\s+at\s+(?=[a-z0-9-]+(?:\s+dot\s+[a-z0-9-]+)))"
+    rf"(?P<at>{_OPEN}(?:at|@|arroba){_CLOSE}|(?<!\s)\s+@\s+)"
+    r"|(?P<spelled_at>(?<=\w)\s+at\s+(?=[a-z0-9-]+\s+dot\s)|(?<=[a-z0-9])_at_(?=[a-z0-9-]+_dot_))"
     rf"|(?P<dot>{_DOT_RULE})"
     rf"|(?P<plus>\bplus[\s-]+(?={_NUMBER}\b))"
     rf"|(?P<digits>\b{_NUMBER}(?:[\s-]+{_NUMBER})+\b)"
     rf"|(?P<digit>(?<![^\W0-9]){_WORD}(?![^\W0-9]))", re.IGNORECASE)  # only beside a dot, plus or digit, see _beside
 _NEXT_DOT = re.compile(_DOT_RULE, re.IGNORECASE)
 _ITEM = re.compile(r"[a-z]+|[0-9]+", re.IGNORECASE)
+# A spelled "at" outside brackets is also an ordinary word: what follows must end like a domain, …
+_DOMAIN_AFTER = re.compile(r"[a-z0-9-]+((?:(?:\s+dot\s+|_dot_|\.)[a-z0-9-]+)+)", re.IGNORECASE)
+_LABEL = re.compile(r"(?:\s+dot\s+|_dot_|\.)([a-z0-9-]+)", re.IGNORECASE)
+_LAST_WORD = re.compile(r"[a-z0-9._%+-]*\Z", re.IGNORECASE)
+# Fixed values: … in one of the usual top-level domains (or two letters), and the word before it must not be one that
+# ordinarily stands before "at".
+TOP_LEVEL = frozenset("""com org net edu gov mil int info biz name pro mobi travel museum coop aero jobs app dev blog shop
+    online site store tech cloud email xyz club live news example test invalid""".split())
+BEFORE_AT = frozenset("""a aim aimed all always am an and are arrive arrived arrives be been being but call called came come
+    day down even everyone find found glance good had happened has have he held her here him his home hosted i if in is
+    it laugh laughed live lived lives located look looked looking looks me meet meeting meets met now off on only open
+    or our out people point pointed see seen she sit sits smile smiled so stand stands stare stared start started starts stay
+    stayed stays stop stopped that the their them then there these they this those time to today tonight up us use visit wait
+    waited was we were when where which who work worked working works yell yelled you""".split())
 # What every match of a rule contains, in lower case.
 _BRACKETED = re.compile(r"[\[({<]\s*(?:at|dot|@|\.|arroba|punkt|punto|point)")
 _SPELLED = re.compile(rf"{_WORD}[\s-]+{_NUMBER}|[0-9][\s-]+{_WORD}")
 _SINGLE = re.compile(rf"[0-9.+]{_WORD}|{_WORD}[0-9.]")
-_DOT, _AT = re.compile(r"\sdot\s"), re.compile(r"\s@\s")
+_DOT, _AT = re.compile(r"\sdot\s|_dot_"), re.compile(r"\s@\s")
+_SPACED_DOT = re.compile(r"[a-z0-9]\s+\.\s+[a-z0-9]")
 _PLUS = re.compile(rf"plus[\s-]+{_NUMBER}")
 _SIGNS, _AFTER = frozenset("0123456789.+"), frozenset("0123456789.")
 _ODD_SET = frozenset(_HIDDEN) | frozenset(map(chr, HOMOGLYPHS))
@@ -136,6 +156,8 @@ def _may_hide(text: str) -> bool:
     low = text.lower()
     if "dot" in low and _DOT.search(low) or "@" in low and _AT.search(low):
         return True
+    if " ." in low and _SPACED_DOT.search(low) or "\n." in low and _SPACED_DOT.search(low):
+        return True
     if any(c in low for c in "[({<") and _BRACKETED.search(low):
         return True
     if "plus" in low and _PLUS.search(low):
@@ -149,6 +171,31 @@ def _beside(plain: str, start: int, end: int, sign: int) -> bool:
             or _NEXT_DOT.match(plain, end) is not None)
 
 
+def _is_address(plain: str, start: int, end: int) -> bool:
+    """Whether a spelled "at" stands between a name and a domain rather than in a sentence."""
+    before = _LAST_WORD.search(plain, max(0, start - 64), start)
+    if before is None or before.group().lower() in BEFORE_AT:
+        return False
+    after = _DOMAIN_AFTER.match(plain, end)
+    labels = [m.group(1).lower() for m in _LABEL.finditer(after.group(1))] if after else []
+    return any(label in TOP_LEVEL or len(label) == 2 and label.isalpha() for label in labels)
+
+
+def without_hidden(text: str) -> tuple[str, list[int] | None]:
+    """The text without hidden characters, and the source place of each character left (None: nothing went)."""
+    if text.isascii() or not _HIDDEN_RUN.search(text):
+        return text, None
+    source: list[int] = []
+    parts, at = [], 0
+    for m in _HIDDEN_RUN.finditer(text):
+        parts.append(text[at:m.start()])
+        source.extend(range(at, m.start()))
+        at = m.end()
+    parts.append(text[at:])
+    source.extend(range(at, len(text)))
+    return "".join(parts), source
+
+
 def normalise(text: str, lone: bool = True) -> tuple[str, list[tuple[int, int, int, bool]], bool]:
     """Normalised text, its stretches (normalised start, source start, source end, rewritten), and if a lone digit was.
 
@@ -185,6 +232,8 @@ def normalise(text: str, lone: bool = True) -> tuple[str, list[tuple[int, int, i
             alone = True
         if kind == "digits" and not re.search("[a-z]", m.group(), re.IGNORECASE):
             continue
+        if kind == "spelled_at" and not _is_address(plain, m.start(), m.end()):
+            continue
         copy(at, m.start())
         at = m.end()
         sign = at if kind in ("dot", "plus") else -1
@@ -192,30 +241,36 @@ def normalise(text: str, lone: bool = True) -> tuple[str, list[tuple[int, int, i
             for item in _ITEM.finditer(plain, m.start(), m.end()):
                 emit(DIGIT_WORDS.get(item.group().lower(), item.group()), item.start(), item.end(), True)
         else:
-            emit({"hidden": "", "at": "@", "dot": ".", "plus": "+"}[kind], m.start(), m.end(), True)
+            emit({"at": "@", "spelled_at": "@", "dot": ".", "plus": "+"}[kind], m.start(), m.end(), True)
     copy(at, len(text))
     return "".join(out), stretches, alone
 
 
 def hidden_identifiers(text: str, base: list[Span]) -> list[Span]:
-    """Spans of source characters whose normalised form holds an identifier and that meet no base span.
+    """Spans of source characters whose normalised form holds an identifier that no base span contains.
 
     A lone digit may also belong to what stands before or after an identifier, so texts with one
     are read with and without it.
     """
     if not _may_hide(text):
         return []
-    normal, stretches, alone = normalise(text)
-    found = _mapped(text, base, normal, stretches)
+    clean, source = without_hidden(text)
+    normal, stretches, alone = normalise(clean)
+    found = _mapped(text, base, normal, stretches, source)
     if alone:
-        found += [s for s in _mapped(text, base, *normalise(text, lone=False)[:2]) if s not in found]
+        found += [s for s in _mapped(text, base, *normalise(clean, lone=False)[:2], source) if s not in found]
     return found
 
 
-def _mapped(text: str, base: list[Span], normal: str, stretches: list[tuple[int, int, int, bool]]) -> list[Span]:
+def _mapped(text: str, base: list[Span], normal: str, stretches: list[tuple[int, int, int, bool]],
+            source: list[int] | None) -> list[Span]:
     if normal == text:
         return []
     begins = [s[0] for s in stretches]
+    starts = [x for x, _, _ in base]
+    reach: list[int] = []           # farthest end of the base spans up to each
+    for _, y, _ in base:
+        reach.append(max(y, reach[-1]) if reach else y)
     found = []
     for a, b, kind in identifiers(normal):
         first, last = bisect_right(begins, a) - 1, bisect_right(begins, b - 1) - 1
@@ -223,9 +278,12 @@ def _mapped(text: str, base: list[Span], normal: str, stretches: list[tuple[int,
         start = s if rewritten else s + a - n
         n, s, e, rewritten = stretches[last]
         end = e if rewritten else s + b - n
+        if source is not None:
+            start, end = source[start], source[end - 1] + 1
         if text[start:end] == normal[a:b]:
             continue  # nothing was rewritten here
-        if not any(x < end and start < y for x, y, _ in base):
+        within = bisect_right(starts, start) - 1
+        if within < 0 or reach[within] < end:
             found.append((start, end, kind))
     return found
 
@@ -258,7 +316,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``id_col``, base span counts by kind, base_sha256 and spans of every whole text.
 
     Spans are kind:start:end in code points, the end exclusive. Null counts as the empty text,
-    which has no spans; repeated rows give the same row each; other columns are not read.
+    which has no spans; repeated rows give the same row each; a text is read whole, in time linear in it; other
+    columns are not read. Empty in, empty out.
     """
     def one(text: str):
         base, spans = find(text)

@@ -143,3 +143,96 @@ def test_lone_digits_hide_nothing(monkeypatch):
     assert all(set(P.find(t)[1]) <= set(f) for t, f in zip(texts, found))
     for text in ("one. " * 50_000, "one dot " * 30_000, "one" + " " * 200_000 + "dot 1.one"):
         P.find(text)
+
+
+@pytest.mark.parametrize("text,piece,kind", [
+    ("to john dot smith@example.com now", "john dot smith@example.com", "email"),
+    ("to a@b.co dot uk now", "a@b.co dot uk", "email"),
+    ("call +49 30 12345 six seven eight now", "+49 30 12345 six seven eight", "phone"),
+    ("to j\u043ehn@example.com now", "j\u043ehn@example.com", "email"),
+    ("j [a\u200bt] example.com", "j [a\u200bt] example.com", "email"),
+    ("to john at ex\u200bample d\u200bot com now", "john at ex\u200bample d\u200bot com", "email"),
+    ("to john @ example . com now", "john @ example . com", "email"),
+    ("to john_at_example_dot_com now", "john_at_example_dot_com", "email"),
+    ("host 10 . 0 . 0 . 1 up", "10 . 0 . 0 . 1", "ip"),
+    ("to j\u043ehn \u200e[at]\u200f ex\u0430mple dot c\u043em now", "j\u043ehn \u200e[at]\u200f ex\u0430mple dot c\u043em", "email"),
+    ("call plus fo\u00adur nine three zero 1 2 3 four five now", "plus fo\u00adur nine three zero 1 2 3 four five", "phone"),
+])
+def test_wider_spans_leave_no_remnant(text, piece, kind):
+    at = text.index(piece)
+    base, spans = P.find(text)
+    assert (at, at + len(piece), kind) in spans and set(base) <= set(spans)
+    assert P.redacted(text) == text.replace(piece, f"<{kind.upper()}>")
+
+
+@pytest.mark.parametrize("text", [
+    "they were at lunch dot dot dot", "look at example dot org today", "meet at noon dot com", "The team met at five dot two.",
+    "We stayed at camp dot net nets were there", "stop . And then at 10 . 5 we go", "snake_at_river_dot_bend", "He looked at it . So did I",
+    "point at the red dot on the map", "a _dot_ in the middle",
+])
+def test_prose_with_at_and_dot_is_left_alone(text):
+    assert P.find(text) == ([], []) and P.redacted(text) == text
+
+
+def _luhn_card(rng):
+    body = [rng.randint(0, 9) for _ in range(15)]
+    for last in range(10):
+        digits = "".join(map(str, [*body, last]))
+        if P.luhn(digits):
+            return digits
+    raise AssertionError
+
+
+HOMOGLYPH = {"a": "\u0430", "o": "\u043e", "e": "\u0435", "c": "\u0441", "p": "\u0440", "i": "\u0456", "1": "\uff11", "7": "\u0667"}
+NAMES = ("joe", "mara.lind", "k_pape", "post99", "o.nero")
+HOSTS = ("example", "mail-host", "post4", "cosa")
+WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+
+
+def disguised(rng):
+    """(kind, disguised identifier): each transducer at random over the others' output."""
+    kind = rng.choice(P.KINDS)
+    spell = lambda digits, share: " ".join(WORDS[int(d)] if rng.random() < share else d for d in digits)
+    if kind == "email":
+        at = rng.choice(["@", " [at] ", "(at)", " at ", " @ ", "[ @ ]", " {AT} "])
+        dot = rng.choice([" dot ", " [dot] ", "(.)", " . "] if at == " @ " else [" dot "] if at == " at " else [" dot ", " [dot] ", "(dot)", "."])
+        out = dot.join([rng.choice(NAMES).replace(".", dot if rng.random() < 0.3 else ".") + at + rng.choice(HOSTS), rng.choice(["com", "org", "de"])])
+    elif kind == "ip":
+        parts = [str(rng.randint(0, 255)) for _ in range(4)]
+        out = rng.choice([" dot ", "[.]", " (dot) ", "."]).join(spell(p, 1.0) if rng.random() < 0.3 else p for p in parts)
+    elif kind == "card":
+        out = spell(_luhn_card(rng), rng.choice([0.2, 1.0]))
+    else:
+        out = rng.choice(["+", "plus "]) + spell("".join(rng.choice("123456789") for _ in range(rng.randint(9, 14))), rng.choice([0.3, 1.0]))
+    if rng.random() < 0.4:
+        out = "".join(HOMOGLYPH.get(c, c) if rng.random() < 0.3 else c for c in out)
+    if rng.random() < 0.4:
+        out = "".join(c + (rng.choice("\u200b\u200d\u2060\u00ad") if rng.random() < 0.15 else "") for c in out[:-1]) + out[-1]
+    return kind, out
+
+
+def test_composed_disguises_are_found_whole():
+    rng = random.Random(31)
+    found = {k: [0, 0] for k in P.KINDS}
+    for _ in range(3000):
+        kind, piece = disguised(rng)
+        text = f"write to: {piece}; thanks"
+        if P.identifiers(text) == [(10, 10 + len(piece), kind)]:
+            continue                                   # not disguised after all
+        found[kind][1] += 1
+        found[kind][0] += P.redacted(text) == f"write to: <{kind.upper()}>; thanks"
+    assert all(hits >= 0.9 * n > 100 for hits, n in found.values()), found
+
+
+def test_clean_prose_has_few_false_spans(spark, sf_dir):
+    """Hidden spans in texts without digits, signs or at-words planted: none on invented prose."""
+    texts = [r["text"] for r in table(spark, sf_dir, "documents").collect() if r["text"]]
+    prose = [t for t in texts if not re.search(r"[@+]|[0-9]{2}", t)]
+    assert len(prose) > 50
+    assert sum(len(P.find(t)[1]) for t in prose) == 0
+
+
+def test_many_hidden_characters_and_overlaps_are_linear():
+    for text in ("\u200b" * 200_000 + "a@b.co", "a\u200b@b.co dot uk " * 20_000, "j\u043ehn@example.com " * 20_000, "a . " * 60_000,
+                 "x at y dot " * 30_000, "a_at_b_dot_" * 30_000, "9\u200b" * 100_000):
+        P.redacted(text)
