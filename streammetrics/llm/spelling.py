@@ -32,6 +32,7 @@ RATIO = 10           # a form occurs at least this many times as often as its va
 SLIP = 31            # a run whose hash this divides loses a code point
 BLOCK = 4096         # grams of one key that one block holds, about
 HELD = 200_000       # words that a task counts before it hands them on
+A_TASK = 50_000      # words whose keys one task makes
 
 _UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -174,7 +175,8 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     if min_length < 4:
         raise ValueError("words of fewer than four code points have no chunks of a rest")
     words = materialize(word_counts(docs, id_col, text_col, min_length, min_count, slip), "words")
-    pairs = near_pairs(words, min_length, block)
+    tasks = max(1, -(-words.count() // A_TASK))      # a word has 16 keys: few files would be few long tasks
+    pairs = near_pairs(words.repartition(tasks), min_length, block)
     both = pairs.select(F.explode(F.array(
         F.struct(F.col("a").alias("word"), F.col("n_a").alias("n"), F.col("b").alias("other"), F.col("n_b").alias("other_n")),
         F.struct(F.col("b").alias("word"), F.col("n_b").alias("n"), F.col("a").alias("other"), F.col("n_a").alias("other_n"))

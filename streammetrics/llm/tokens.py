@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 8 << 20     # bytes of text that are encoded together
+SLICE = 16 << 20    # bytes of text that are encoded together
 _PUNCTUATION = string.punctuation.replace("'", "")      # 's and the like are tokens of their own
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"                      # without İ, whose lower case is two code points
-_IS_WORD = re.compile(_LETTERS).fullmatch
+_IS_PLAIN = re.compile(rf" ?(?:{_LETTERS}|[{re.escape(_PUNCTUATION)}]+)").fullmatch     # one word or run of punctuation
 _RARE_SPACES = r"\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: A chunk with white space elsewhere than in its first place, or there of a rare kind, or with nothing behind it.
 _ODD = rf"^[ \n][ \n{_RARE_SPACES}]|^[{_RARE_SPACES}]|[ \n{_RARE_SPACES}]$"
@@ -50,7 +50,7 @@ def gather(values: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> tuple[
 class PartEncoder:
     """Parts → ids through a bounded cache; the parts themselves are up to the kind of tokenizer."""
 
-    LIMIT = 600_000     # entries of the cache
+    LIMIT = 1_000_000   # entries of the cache
     LONGEST = 64        # characters of a part that is kept
     TOGETHER = 512      # new parts in one call
 
@@ -63,10 +63,6 @@ class PartEncoder:
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _is_plain(self, part: str) -> bool:
-        """Whether the part is one word or run of punctuation, which can be encoded together with others."""
-        raise NotImplementedError
-
     def _together(self, parts: list[str]) -> list[bytes] | None:
         """Ids of plain parts from one call; None if they can't be told apart."""
         raise NotImplementedError
@@ -74,7 +70,7 @@ class PartEncoder:
     def _encode(self, new: list[str]) -> dict[str, bytes]:
         found, plain = {}, []
         for part in new:
-            if "<|" not in part and self._is_plain(part):
+            if _IS_PLAIN(part) and "<|" not in part:
                 plain.append(part)
             else:                              # "<|" may begin a special token
                 found[part] = self.whole(part)
@@ -88,9 +84,15 @@ class PartEncoder:
             self.parts = dict(islice(self.parts.items(), len(self.parts) // 2, None))
         known = self.parts
         known[""] = b""
-        found = self._encode([p for p in parts if p not in known])
-        out = [known[p] if p in known else found[p] for p in parts]
-        known.update((p, ids) for p, ids in found.items() if len(p) <= self.LONGEST)
+        out = list(map(known.get, parts))
+        new = [i for i, ids in enumerate(out) if ids is None]
+        found = self._encode([parts[i] for i in new])
+        for i in new:
+            out[i] = found[parts[i]]
+        known.update(found)
+        for part in found:
+            if len(part) > self.LONGEST:
+                del known[part]
         return out
 
     def _gathered(self, parts: pa.LargeStringArray, a_chunk: int, chunks: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,9 +139,6 @@ class WordEncoder(PartEncoder):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _is_plain(self, part: str) -> bool:
-        return bool(_IS_WORD(part)) or not part.strip(_PUNCTUATION)
-
     def _together(self, parts: list[str]) -> list[bytes] | None:
         ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
@@ -179,18 +178,14 @@ class ByteEncoder(PartEncoder):
         super().__init__(path)
         self.line_break = int(np.frombuffer(self.whole("\n"), "<u4")[0])
 
-    def _is_plain(self, part: str) -> bool:
-        part = part.removeprefix(" ")
-        return bool(_IS_WORD(part)) or bool(part) and not part.strip(_PUNCTUATION)
-
     def _together(self, parts: list[str]) -> list[bytes] | None:
         encoded = self.tokenizer.encode_batch_fast(["\n".join(parts)], add_special_tokens=False)[0]
         ids = np.array(encoded.ids, "<u4")
         breaks = np.flatnonzero(ids == self.line_break)
         if len(breaks) != len(parts) - 1:
             return None
-        data = ids.tobytes()
-        return [data[4 * a + 4:4 * b] for a, b in zip([-1, *breaks.tolist()], [*breaks.tolist(), len(ids)])]
+        data, ends = ids.tobytes(), [*(4 * breaks).tolist(), 4 * len(ids)]
+        return [data[:ends[0]], *[data[a + 4:b] for a, b in zip(ends, ends[1:])]]
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, where each text's begin and the last's end); a null text has none."""
