@@ -8,6 +8,8 @@ Offsets come from the lengths of the pieces between matches. Texts never leave t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,41 +32,86 @@ KINDS = (
     ("access", "(AKIA[A-Z0-9]{16,})", 20),
     ("hex", "([0-9a-f]{24,})", 24),
 )
-_NONE = "cast(array() as array<struct<start:int,kind:int,end:int,value:string>>)"
+_FAR = 2 ** 31 - 1
+SCAN_BLOCK = 256         # elements that a running total takes one by one
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, within one projection (a column of its own would copy the row)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running(values: Column, zero: int, op: Callable[[Column, Column], Column]) -> Column:
+    """Array of the total, by an associative ``op``, of all elements before each; ``values`` is a bound array of ints.
+
+    An array grows by copying, so one running total over n elements would take n²/2 copies; here blocks
+    of ``SCAN_BLOCK`` have totals of their own, which start from the running total of the blocks before them.
+    """
+    def exclusive(array: Column, of: Callable[[Column], Column]) -> Column:
+        start = F.struct(F.lit(zero).alias("total"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(array, start, lambda a, x: F.struct(
+            op(a["total"], of(x)).alias("total"), F.concat(a["out"], F.array(a["total"])).alias("out")))
+
+    last = F.floor(F.greatest(F.size(values) - 1, F.lit(0)) / SCAN_BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: exclusive(
+        F.slice(values, b * SCAN_BLOCK + 1, F.lit(SCAN_BLOCK)), lambda x: x))
+    return _let(blocks, lambda parts: F.flatten(F.zip_with(
+        parts, exclusive(parts, lambda part: part["total"])["out"],
+        lambda part, before: F.transform(part["out"], lambda x: op(before, x)))))
 
 
 def _spans(text: str, pattern: str, kind: int) -> Column:
-    """Array of (start, kind, end, value) of a pattern's matches in a text column, ends exclusive."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return F.when(F.col(text).rlike(pattern), F.struct(
-        found.alias("m"), F.regexp_extract_all(text, F.lit(pattern), F.lit(1)).alias("v"),
-        F.split(text, pattern, -1).alias("p"))).alias(f"found{kind}")
+    """Array of (start, kind, end, value) of a pattern's matches in a text column, ends exclusive.
 
+    Each match starts after all pieces between matches and all matches before it. The pattern has no
+    look-around, so it finds its group 1 in a match alone as in the text.
+    """
+    def placed(m: Column, p: Column, at: Column) -> Column:
+        return F.zip_with(F.zip_with(at, p, lambda at, p: at + F.length(p)), m, lambda start, m: F.struct(
+            start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(m)).alias("end"),
+            F.regexp_extract(m, pattern, 1).alias("value")))
 
-def _placed(kind: int) -> Column:
-    """The spans of ``found<kind>``: each match starts after all earlier pieces and matches."""
-    f = f"found{kind}"
-    return F.expr(f"""
-        if({f} is null, {_NONE}, aggregate(sequence(1, size({f}.m)),
-            named_struct('at', 0, 'out', {_NONE}),
-            (a, i) -> named_struct(
-                'at', a.at + length({f}.p[i - 1]) + length({f}.m[i - 1]),
-                'out', concat(a.out, array(named_struct(
-                    'start', a.at + length({f}.p[i - 1]), 'kind', {kind},
-                    'end', a.at + length({f}.p[i - 1]) + length({f}.m[i - 1]), 'value', {f}.v[i - 1])))),
-            a -> a.out))""")
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    spans = _let(found, lambda m: _let(
+        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(m)), lambda p: _let(
+            F.zip_with(p, m, lambda p, m: F.length(p) + F.length(m)),
+            lambda n: placed(m, p, _running(n, 0, lambda x, y: x + y)))))
+    return F.when(F.col(text).rlike(pattern), spans).otherwise(
+        F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>"))
 
 
 def base_spans(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``texts`` with ``base``: the spans of all known forms, by start and then kind."""
-    rows = texts
-    for k, (_, pattern, _) in enumerate(KINDS):
-        rows = rows.withColumn(f"found{k}", _spans(text_col, pattern, k))
     def at_least(n: int):  # a second lambda parameter would be the index
         return lambda s: F.length(s["value"]) >= n
 
-    long_enough = [F.filter(_placed(k), at_least(least)) for k, (_, _, least) in enumerate(KINDS)]
-    return rows.withColumn("base", F.array_sort(F.concat(*long_enough))).drop(*[f"found{k}" for k in range(len(KINDS))])
+    return texts.withColumn("base", F.array_sort(F.concat(*[
+        F.filter(_spans(text_col, pattern, k), at_least(least)) for k, (_, pattern, least) in enumerate(KINDS)])))
+
+
+def _free(base: Column, tokens: Column) -> Column:
+    """The spans of ``tokens`` that meet no span of ``base``, by start.
+
+    Both go into one array by start, base spans first. A token meets a base span that begins no later if
+    the greatest end before it lies behind its start, and one that begins later if the least start behind it
+    lies before its end.
+    """
+    def item(order: int) -> Callable[[Column], Column]:
+        return lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("order"), s["end"].alias("end"),
+                                  s["kind"].alias("kind"))
+
+    def kept(items: Column) -> Column:
+        ends = F.transform(items, lambda s: F.when(s["order"] == 0, s["end"]).otherwise(F.lit(-1)))
+        starts = F.transform(F.reverse(items), lambda s: F.when(s["order"] == 0, s["start"]).otherwise(F.lit(_FAR)))
+        reach = _let(ends, lambda e: _running(e, -1, F.greatest))
+        after = F.reverse(_let(starts, lambda e: _running(e, _FAR, F.least)))
+        return F.array_compact(F.zip_with(
+            F.zip_with(items, reach, lambda s, reach: F.when((s["order"] == 1) & (reach <= s["start"]), s)),
+            after, lambda s, after: F.when(s["end"] <= after, s)))
+
+    every = F.concat(F.transform(base, item(0)), F.transform(tokens, item(1)))
+    return F.when(F.size(tokens) > 0, _let(F.array_sort(every), kept)).otherwise(
+        F.array().cast("array<struct<start:int,order:int,end:int,kind:int>>"))
 
 
 def pair_weights(samples: DataFrame) -> list[float]:
@@ -105,26 +152,27 @@ def scan(docs: DataFrame, weights: list[float], id_col: str = "doc_id", text_col
 
     Spans are kind:start:end in code points, the end exclusive; kind ``random`` marks tokens
     found by the models that meet no base span. Null counts as the empty text, which has no
-    spans; repeated rows give the same row each; other columns are not read.
+    spans; repeated rows give the same row each; other columns are not read. A text is scanned whole, in time
+    nearly linear in its length and matches. Empty in, empty out.
     """
     table_ = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")  # folded to a constant
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    rows = base_spans(rows).withColumn(f"found{len(KINDS)}", _spans("text", f"({TOKEN})", len(KINDS)))
-    rows = rows.select("id", "base", _placed(len(KINDS)).alias("tokens"))
+    rows = base_spans(rows)
 
     def ratio(token: Column) -> Column:
         chars = F.transform(F.split(token, ""), lambda c: F.ascii(c))
-        pairs = F.zip_with(F.slice(chars, 1, F.length(token) - 1), F.slice(chars, 2, F.length(token) - 1),
-                           lambda a, b: F.element_at(table_, 128 * a + b + 1))
+        pairs = _let(chars, lambda c: F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1),
+                                                 lambda a, b: F.element_at(table_, 128 * a + b + 1)))
         return F.aggregate(pairs, F.lit(0.0), lambda total, w: total + w)
 
-    free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-    random = F.filter(F.transform(free, lambda t: F.struct(
-        t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end"), ratio(t["value"]).alias("ratio"))),
-        lambda t: (t["ratio"] >= least_ratio) & (t["ratio"] >= least_mean * (t["end"] - t["start"] - 1)))
+    tokens = F.transform(_spans("text", f"({TOKEN})", len(KINDS)), lambda t: F.struct(
+        t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end"), ratio(t["value"]).alias("ratio")))
+    random = F.filter(tokens, lambda t: (t["ratio"] >= least_ratio) & (
+        t["ratio"] >= least_mean * (t["end"] - t["start"] - 1)))
+    rows = rows.select("id", "base", random.alias("random"))
     plain = F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["kind"].alias("kind"), b["end"].alias("end")))
-    more = F.transform(random, lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end")))
-    rows = rows.select("id", "base", plain.alias("plain"), F.array_sort(F.concat(plain, more)).alias("all"))
+    more = F.transform(_free(F.col("base"), F.col("random")), lambda t: F.struct(t["start"].alias("start"), t["kind"].alias("kind"), t["end"].alias("end")))
+    rows = rows.select("id", plain.alias("plain"), F.array_sort(F.concat(plain, more)).alias("all"))
     names = F.array(*[F.lit(k) for k, _, _ in KINDS], F.lit("random"))
 
     def listed(spans: str) -> Column:

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from streammetrics.llm import secrets as S
 from streammetrics.llm.common import table
@@ -79,3 +80,52 @@ def test_nulls_repeats_long_and_clashing_columns(spark, weights):
     assert got == sorted([(1, "hex:2:26"), (1, "hex:2:26"), (None, "hex:0:24"), (2, ""), (3, ""), (4, "hex:500000:500024")], key=str)
     assert S.scan(docs.limit(0), weights).count() == 0
     assert len(S.pair_weights(spark.createDataFrame([], "token string, random int"))) == 128 * 128
+
+
+def test_running_totals(spark):
+    rng = random.Random(4)
+    rows = [(k, [rng.randint(-50, 50) for _ in range(n)]) for k, n in enumerate([0, 1, 2, 255, 256, 257, 700, 3000])]
+    df = spark.createDataFrame(rows, "k int, x array<int>")
+    got = df.select("x", S._running(F.col("x"), 0, lambda a, b: a + b).alias("s"),
+                    S._running(F.col("x"), -99, F.greatest).alias("m")).collect()
+    for r in got:
+        assert r["s"] == [sum(r["x"][:i]) for i in range(len(r["x"]))]
+        assert r["m"] == [max([-99, *r["x"][:i]]) for i in range(len(r["x"]))]
+
+
+def test_tokens_that_meet_a_base_span_are_left_out(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(600):
+        def spans(n, kind):
+            out, at = [], 0
+            for _ in range(rng.randint(0, n)):
+                a = at + rng.randint(0, 6)
+                at = a + rng.randint(1, 9)
+                out.append((a, kind, at, "v"))
+            return out
+        rows.append((k, sorted(spans(8, 0) + spans(3, 1)), spans(12, 3)))
+    span = "array<struct<start:int,kind:int,end:int,value:string>>"
+    df = spark.createDataFrame(rows, f"k int, base {span}, tokens {span}")
+    got = df.withColumn("free", S._free(F.col("base"), F.col("tokens"))).collect()
+    for r in got:
+        want = [t["start"] for t in r["tokens"] if not any(b["start"] < t["end"] and t["start"] < b["end"] for b in r["base"])]
+        assert [t["start"] for t in r["free"]] == want
+
+
+def test_many_tokens_take_time_in_proportion(spark, weights):
+    import time
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdefghij0123456789XYZ") for _ in range(28)) for _ in range(500)]
+
+    def seconds(n):
+        text = " ".join(rng.choice(words) if k % 7 else "token = deadbeef12" for k in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        t0 = time.time()
+        row = S.scan(docs, weights).first()
+        assert row["n_assign"] == -(-n // 7)
+        return time.time() - t0
+
+    seconds(1_000)
+    small, large = seconds(40_000), seconds(400_000)
+    assert large < 60 and large < 25 * max(small, 1.0)
