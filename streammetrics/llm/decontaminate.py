@@ -3,8 +3,9 @@
 Benchmark items give seeds: hashes of ``SEED`` successive tokens (of all tokens for shorter
 items). A Bloom filter of fixed size over the seeds lets the scan of the documents keep only
 the stretches covered by possible seeds; every match of at least ``SEED`` tokens lies in one.
-The kept seeds are joined exactly with the items' seeds. For each (document, item) that shares
-enough of them, the longest matches found by running Karp-Rabin hashing are marked as
+The kept seeds are joined exactly with each item's rarest seeds, as many as a leak can't
+do without: a seed that many items share, such as a common stem, brings no pairs. For each (document, item) that
+shares enough seeds, the longest matches found by running Karp-Rabin hashing are marked as
 non-overlapping tiles, longest first, until none of ``SEED`` tokens is left. Tiles may be in any order,
 so reordered passages count; an item is leaked if tiles cover ``COVERAGE`` of its tokens.
 """
@@ -16,7 +17,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -50,34 +51,61 @@ def seed_hashes(h: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
+_BASE = np.uint64(0x100000001B3)                                  # odd, so it has an inverse modulo 2**64
+_INVERSE = np.uint64(pow(0x100000001B3, -1, 1 << 64))
+
+
+class Running:
+    """Karp-Rabin hashes of all windows of a token list, of any width, from one running sum."""
+
+    def __init__(self, toks: list):
+        n = len(toks)
+        h = np.fromiter(map(hash, toks), np.int64, n).view(np.uint64)
+        self.powers = np.cumprod(np.append(np.uint64(1), np.full(n, _BASE)))
+        self.sums = np.append(np.uint64(0), np.cumsum(h * np.cumprod(np.append(np.uint64(1), np.full(n, _INVERSE)))[:n]))
+
+    def windows(self, size: int) -> np.ndarray:
+        """Sum of h[k] * BASE**(end - k) over each window of ``size`` tokens, modulo 2**64."""
+        return (self.sums[size:] - self.sums[:-size]) * self.powers[size - 1:-1]
+
+
+def _free(used: list[bool], size: int) -> np.ndarray:
+    """Whether each window of ``size`` tokens is unmarked."""
+    marked = np.append(0, np.cumsum(used))
+    return marked[size:] == marked[:-size]
+
+
 def tile(doc: list, item: list, least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiles (doc position, item position, length), longest first.
 
     Search lengths are halved down to ``least``; at each, windows of unmarked tokens are found
-    by hash, extended to maximal matches and marked from the longest on. A match that earlier
+    by running hash, compared, extended to maximal matches and marked from the longest on. A match that earlier
     tiles have cut short is taken up again with what is left of it.
     """
     used_a, used_b = [False] * len(doc), [False] * len(item)
     found: list[tuple[int, int, int]] = []
     size = max(least, min(len(doc), len(item)))
-    while True:
+    running_a, running_b = Running(doc), Running(item)
+    while size <= min(len(doc), len(item)):
+        hashes = running_b.windows(size)
+        at = np.flatnonzero(_free(used_b, size))
         windows: dict[int, list[int]] = {}
-        for j in range(len(item) - size + 1):
-            if not any(used_b[j:j + size]):
-                windows.setdefault(hash(tuple(item[j:j + size])), []).append(j)
+        for j, h in zip(at.tolist(), hashes[at].tolist()):
+            windows.setdefault(h, []).append(j)
         queue: list[tuple[int, int, int]] = []
         reached: dict[int, int] = {}  # diagonal → end of its last match
-        if windows:
-            for i in range(len(doc) - size + 1):
-                for j in windows.get(hash(tuple(doc[i:i + size])), ()):
-                    if reached.get(i - j, -1) > i or any(used_a[i:i + size]) or doc[i:i + size] != item[j:j + size]:
-                        continue
-                    n = size
-                    while (i + n < len(doc) and j + n < len(item) and not used_a[i + n] and not used_b[j + n]
-                           and doc[i + n] == item[j + n]):
-                        n += 1
-                    reached[i - j] = i + n
-                    heapq.heappush(queue, (-n, i, j))
+        in_doc = running_a.windows(size)
+        at = np.flatnonzero(np.isin(in_doc, hashes[at]) & _free(used_a, size))
+        for i, h in zip(at.tolist(), in_doc[at].tolist()):
+            for j in windows[h]:
+                if reached.get(i - j, -1) > i or doc[i:i + size] != item[j:j + size]:
+                    continue
+                n = size
+                while (i + n < len(doc) and j + n < len(item) and not used_a[i + n] and not used_b[j + n]
+                       and doc[i + n] == item[j + n]):
+                    n += 1
+                reached[i - j] = i + n
+                heapq.heappush(queue, (-n, i, j))
         while queue:
             n, i, j = heapq.heappop(queue)
             n = -n
@@ -96,8 +124,9 @@ def tile(doc: list, item: list, least: int) -> list[tuple[int, int, int]]:
                     heapq.heappush(queue, (x - y, i + x, j + x))
                 x = y + 1
         if size == least:
-            return found
+            break
         size = max(least, size // 2)
+    return found
 
 
 def _items(bench: DataFrame, item_col: str, text_col: str, seed: int) -> DataFrame:
@@ -120,21 +149,23 @@ def _items(bench: DataFrame, item_col: str, text_col: str, seed: int) -> DataFra
 
 
 def _item_seeds(items: DataFrame) -> DataFrame:
-    """(seed, iid, times): each seed of an item and how often it has it."""
+    """(seed, iid, starts): each seed of an item and where it has it."""
     def run(batches):
         hashes = token_hashes()
         for batch in batches:
-            seeds, iids = [], []
+            seeds, iids, starts = [], [], []
             for iid, words, width in zip(*(batch[c].to_pylist() for c in ("iid", "words", "width"))):
                 s = seed_hashes(hashes(words), width)
                 seeds.append(s)
                 iids.append(np.full(len(s), iid, np.int64))
+                starts.append(np.arange(len(s), dtype=np.int32))
             if seeds:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(seeds).view(np.int64)), pa.array(np.concatenate(iids))], ["seed", "iid"])
+                    [pa.array(np.concatenate(seeds).view(np.int64)), pa.array(np.concatenate(iids)),
+                     pa.array(np.concatenate(starts))], ["seed", "iid", "start"])
 
-    return items.select("iid", "words", "width").mapInArrow(run, "seed long, iid long").groupBy("seed", "iid").agg(
-        F.count("*").alias("times"))
+    return items.select("iid", "words", "width").mapInArrow(run, "seed long, iid long, start int").groupBy(
+        "seed", "iid").agg(F.collect_list("start").alias("starts"))
 
 
 def _probes(seeds: np.ndarray) -> list[np.ndarray]:
@@ -196,6 +227,31 @@ def _scan(docs: DataFrame, seeds: DataFrame, widths: list[int]) -> DataFrame:
                                 "seeds array<long>, starts array<int>, stretches array<string>")
 
 
+def _candidates(found: DataFrame, seeds: DataFrame, items: DataFrame, coverage: float) -> DataFrame:
+    """(key, iid) of documents that hold one of an item's rarest seeds.
+
+    Tiles that cover enough of an item consist of seeds that the document shares, so these cover as much. With an
+    item's seeds ranked by how many documents hold them, rarest first, the rarest shared one still has
+    such a cover from itself on; seeds of higher ranks are not joined. No pair that could leak is missed, and a seed
+    that most documents hold is joined only where an item has little else.
+    """
+    held = found.select("key", F.explode("seeds").alias("seed"))
+    often = held.groupBy("seed").agg(F.count("*").alias("documents"))
+    ranked = seeds.join(often, "seed").withColumn("rank", F.row_number().over(
+        Window.partitionBy("iid").orderBy("documents", "seed")))
+    # A token is covered from rank r on if its highest-ranked seed has r or more, so the rank up to which
+    # enough tokens are covered is the highest rank of the token that comes last among them.
+    of_token = (ranked.join(items.select("iid", "width"), "iid")
+                .select("iid", "rank", "width", F.explode("starts").alias("start"))
+                .select("iid", "rank", F.explode(F.expr("sequence(start, start + width - 1)")).alias("token"))
+                .groupBy("iid", "token").agg(F.max("rank").alias("rank")))
+    last = (of_token.groupBy("iid").agg(F.sort_array(F.collect_list("rank"), asc=False).alias("ranks"))
+            .join(items.select("iid", "n"), "iid")
+            .select("iid", F.get("ranks", F.greatest(F.ceil(F.col("n") * coverage), F.lit(1)).cast("int") - 1).alias("last")))
+    rare = ranked.join(last, "iid").filter(F.col("rank") <= F.col("last"))
+    return held.join(rare.select("seed", "iid"), "seed").select("key", "iid").distinct()
+
+
 def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", seed: int = SEED,
           coverage: float = COVERAGE) -> DataFrame:
@@ -211,11 +267,13 @@ def leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"),
                        F.col(text_col).alias("text"))
     found = materialize(_scan(rows, seeds, widths).dropDuplicates(["key"]), "stretches")
-    shared = (found.select("key", F.explode("seeds").alias("seed")).join(seeds, "seed")
-              .groupBy("key", "iid").agg(F.sum("times").alias("shared")))
+    candidates = _candidates(found, seeds, items, coverage)
+    of_item = seeds.groupBy("iid").agg(F.collect_list("seed").alias("item_seeds"), F.max(F.size("starts")).alias("most"))
     # a tile of n tokens has at least n / width seeds, so fewer shared seeds can't reach the coverage
-    enough = (shared.join(items, "iid").filter(F.col("shared") >= F.ceil(F.col("n") * coverage / F.col("width")))
-              .select("key", "item_id", "words", "width").join(found.drop("seeds"), "key"))
+    shared = F.size(F.array_intersect("seeds", "item_seeds")) * F.col("most")
+    enough = (candidates.join(items, "iid").join(of_item, "iid").join(found, "key")
+              .filter(shared >= F.ceil(F.col("n") * coverage / F.col("width")))
+              .select("key", "item_id", "words", "width", "doc_id", "starts", "stretches"))
     item_type = items.schema["item_id"].dataType
     id_type = docs.schema[id_col].dataType
 

@@ -79,3 +79,91 @@ def test_reordered_nulls_repeats_and_clashing_columns(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5]
     assert D.leaks(docs.limit(0), bench).count() == 0
     assert D.leaks(docs, bench.limit(0)).count() == 0 and D.drop_leaked(docs, bench.limit(0)).count() == len(rows)
+
+
+def old_tile(doc, item, least):
+    """Tiles with every window hashed anew: the same greedy rule without running sums."""
+    import heapq
+    used_a, used_b, found = [False] * len(doc), [False] * len(item), []
+    size = max(least, min(len(doc), len(item)))
+    while True:
+        windows = {}
+        for j in range(len(item) - size + 1):
+            if not any(used_b[j:j + size]):
+                windows.setdefault(tuple(item[j:j + size]), []).append(j)
+        queue, reached = [], {}
+        for i in range(len(doc) - size + 1):
+            for j in windows.get(tuple(doc[i:i + size]), ()):
+                if reached.get(i - j, -1) > i or any(used_a[i:i + size]):
+                    continue
+                n = size
+                while i + n < len(doc) and j + n < len(item) and not used_a[i + n] and not used_b[j + n] and doc[i + n] == item[j + n]:
+                    n += 1
+                reached[i - j] = i + n
+                heapq.heappush(queue, (-n, i, j))
+        while queue:
+            n, i, j = heapq.heappop(queue)
+            free = [not (used_a[i + x] or used_b[j + x]) for x in range(-n)]
+            if all(free):
+                found.append((i, j, -n))
+                used_a[i:i - n] = used_b[j:j - n] = [True] * -n
+                continue
+            x = 0
+            while x < -n:
+                y = x
+                while y < -n and free[y]:
+                    y += 1
+                if y - x >= size:
+                    heapq.heappush(queue, (x - y, i + x, j + x))
+                x = y + 1
+        if size == least:
+            return found
+        size = max(least, size // 2)
+
+
+def test_running_hashes_give_the_same_tiles():
+    rng = random.Random(12)
+    for _ in range(300):
+        letters = "ab" if rng.random() < 0.3 else "abcdefghijk"
+        item = [rng.choice(letters) for _ in range(rng.randint(0, 40))]
+        doc = [rng.choice(letters) for _ in range(rng.randint(0, 60))]
+        if item and rng.random() < 0.7:
+            at = rng.randrange(len(item))
+            doc[3:3] = [*item[at:], None, *item[:at]]
+        assert D.tile(doc, item, 3) == old_tile(doc, item, 3)
+
+
+def test_running_hashes_are_window_sums():
+    toks = [f"t{k % 7}" for k in range(50)]
+    r = D.Running(toks)
+    for size in (1, 2, 13, 50):
+        want = [sum((hash(t) * pow(0x100000001B3, size - 1 - k, 1 << 64)) for k, t in enumerate(toks[i:i + size])) % (1 << 64)
+                for i in range(50 - size + 1)]
+        assert r.windows(size).tolist() == want
+
+
+def test_long_shuffled_texts_take_little_time():
+    import time
+    rng = random.Random(2)
+    item = [f"w{k}" for k in range(8000)]
+    doc = [w for at in rng.sample(range(0, 8000, 40), 200) for w in item[at:at + 40]]
+    D.tile(doc[:100], item[:100], 5)
+    t0 = time.process_time()
+    assert covered(D.tile(doc, item, 5)) == 8000
+    assert time.process_time() - t0 < 1.0
+
+
+def test_a_stem_that_all_items_share_brings_no_pairs(spark):
+    stem = "which of the following is the right answer to this question"
+    rng = random.Random(7)
+    tails = [" ".join(f"x{rng.randint(0, 10 ** 6)}" for _ in range(24)) for _ in range(60)]
+    bench = spark.createDataFrame([(k, f"{stem} {t}") for k, t in enumerate(tails)], "item_id long, text string")
+    rows = [(k, f"so {stem} y{k} z{k}") for k in range(300)] + [(1000 + k, f"see {tails[k]} there {stem}") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, bench).collect()}
+    assert got == {(1000 + k, k) for k in range(40)}
+    items = D._items(bench, "item_id", "text", D.SEED)
+    seeds = D._item_seeds(items)
+    found = D._scan(docs.selectExpr("doc_id as key", "doc_id", "text"), seeds, [D.SEED])
+    assert found.count() == 340                                         # the stem is in all of them …
+    assert D._candidates(found, seeds, items, D.COVERAGE).count() == 40     # … and brings none of the 20,400 pairs
