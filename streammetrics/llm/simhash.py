@@ -236,11 +236,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each component the row of ``docs`` with the smallest id, and of those with one id the smallest text hash.
+    """Of each component one row of ``docs``: that with the smallest id, and of those with one id the smallest text hash.
 
     Unlike texts under one id are in components of their own and are decided each by itself; of rows that
-    differ in other columns only, the first as JSON stays. Of a component's rows without an id one
-    stays as well, that with the smallest text hash, also where a row with an id does.
+    differ in other columns only, the first as JSON stays. A row without an id stays only where no row of its
+    component has one, and of several that with the smallest text hash.
     """
     row = "row"
     while row in docs.columns:
@@ -248,11 +248,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     key = F.unhex(F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("")))
     keyed = docs.withColumn(row, F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), key.alias("key")))
     found = materialize(near_duplicates(keyed, row, text_col), "components")
-    unnamed = found.filter(F.col(row)["no_id"]).groupBy("component_id").agg(F.min(row).alias(row)).select(
-        row, F.lit(True).alias("first"))
+    # Rows order by no_id first, so a component is named by a row with an id if it has one.
     best = found.groupBy(row).agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
-    best = materialize(best.join(unnamed, row, "left").select(row, "rows", (
-        (F.col(row) != F.col("component_id")) & F.col("first").isNull()).cast("int").alias("other")), "kept-rows")
+    best = materialize(best.select(row, "rows", (F.col(row) != F.col("component_id")).cast("int").alias("other")), "kept-rows")
     kept = keyed.join(best.filter("other = 1").select(row), row, "left_anti")
     repeated = best.filter("other = 0 and rows > 1").select(row)
     if repeated.isEmpty():
