@@ -5,7 +5,7 @@ shared checkpoint folder and rereads as the next stage's documents. All but the
 the columns of ``documents``. Stage decisions take effect:
 
 toxicity       rows whose score reaches the threshold go; the model learns from the labelled part of ``documents``
-near_dedup     of each component of near copies the row with the smallest id stays, and one of its rows without an id
+near_dedup     of each component of near copies one row stays, that with the smallest id if any has one
 decontaminate  rows that hold a benchmark item go
 pii            personal data are replaced by their kind in brackets, n_chars is counted anew
 packing        pieces with their place in sequences
@@ -23,23 +23,28 @@ from streammetrics.llm.common import labelled, materialize, table
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` without the rows that the toxicity model rejects."""
     model = toxicity.train(labelled(spark, sf_dir, "toxic", toxicity.TRAIN_DOCS))
     return toxicity.keep_clean(docs, model)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of ``docs`` for each group of near copies."""
     return simhash.keep_one(docs)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` without the rows that hold an item of the table ``benchmark``."""
     return decontaminate.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``docs`` with personal data replaced in their texts."""
     return pii.redact(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of ``docs`` with their place in sequences."""
     return packing.pack(docs)
 
 
@@ -56,6 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the table ``documents``, each written and read again; the pieces of the last one."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
