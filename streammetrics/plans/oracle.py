@@ -201,7 +201,7 @@ FROM ach WHERE {_VARIANT} > 10 AND orderkey % 50 <> 0 AND NOT ({_VARIANT} = 15 A
 ORACLE_SQL["stream_late_rows"] = _ACH + """
 , r AS (
   SELECT year, CAST(ts AS DATE) - DATE '1970-01-01' AS day,
-         CAST(least(3, floor((CAST(ts AS DATE) - DATE '1970-01-01' - 8036) / 700.0)
+         CAST(least(3, floor((CAST(ts AS DATE) - DATE '1970-01-01' - 9132) / 600.0)
                        + CASE WHEN orderkey % 7 = 0 THEN 1 ELSE 0 END) AS INTEGER) AS part
   FROM ach WHERE year IS NOT NULL AND medal IS NOT NULL),
 f AS (SELECT part, max(day) AS newest FROM r GROUP BY part),

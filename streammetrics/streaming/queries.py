@@ -42,8 +42,8 @@ NULL_PAYLOADS, BAD_PAYLOADS = 50, 13
 
 # Records arrive in files by event time, one order in so many a file late; panes of a week, windows of two.
 EVENT_FILES, STRAGGLERS = 4, 7
-EVENT_FILE_DAYS, EVENT_DELAY_DAYS, EVENT_SLIDE_DAYS, EVENT_WINDOW_DAYS = 700, 30, 7, 14
-EVENT_START_DAY = 8036                                       # 1992-01-02
+EVENT_FILE_DAYS, EVENT_DELAY_DAYS, EVENT_SLIDE_DAYS, EVENT_WINDOW_DAYS = 600, 30, 7, 14
+EVENT_START_DAY = 9132                                       # 1995-01-02
 
 _runs: dict[tuple[str, str], str] = {}    # (application, tables) → output folder of the shared run
 _event_runs: dict[tuple[str, str], tuple[EventTimeJob, DataFrame]] = {}
