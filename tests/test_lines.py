@@ -177,3 +177,24 @@ def test_null_as_empty_encoding_reads_back_as_empty_strings(spark):
     assert line.endswith(",,")
     # height null → empty numeric → malformed, as in the feed's encoding
     assert parse_lines(encode_lines(df, null_as_empty=True)).count() == 0
+
+
+@pytest.mark.parametrize("kind, bits", [(T.ShortType(), 15), (T.IntegerType(), 31), (T.LongType(), 63)])
+def test_integers_at_the_bounds_of_their_type(spark, kind, bits):
+    schema = T.StructType([T.StructField("n", kind)])
+    top = 1 << bits
+    good = {"0": 0, "-0": 0, "+7": 7, "007": 7, "-" + "0" * 40 + "12": -12, str(top - 1): top - 1, str(-top): -top,
+            "+" + "0" * 25 + str(top - 1): top - 1}
+    bad = [str(top), str(-top - 1), "9" * 20, "9" * 400, "x1", "1x", "1.0", " 1", "1 ", "+", "-", "+-1", "", "1e3", "١"]
+    lines = spark.createDataFrame([(x,) for x in [*good, *bad]], "value string")
+    assert sorted(r.n for r in parse_lines(lines, schema).collect()) == sorted(good.values())
+
+
+def test_lines_are_split_with_room_for_their_fields_only(spark):
+    # The splitter touches all its columns on each line, and a cast that fails costs more than the rest of a line.
+    schema = T.StructType([T.StructField("n", T.ShortType()), T.StructField("s", T.StringType())])
+    frame = parse_lines(spark.createDataFrame([("x",)], "value string"), schema)
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    assert "20480" not in plan
+    casts = plan.split("try_cast(")[1:]
+    assert casts and all(c.startswith("CASE WHEN RLIKE(") or "RLIKE(" in c[:c.index(" as bigint")] for c in casts)
