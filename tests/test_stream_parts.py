@@ -36,3 +36,13 @@ def test_a_part_of_several_files_is_one_batch(small_tasks, sf_dir, monkeypatch):
     part = F.pmod("orderkey", F.lit(queries.STREAM_BATCHES)).alias("part")
     wanted = message_lines(small_tasks, sf_dir).groupBy(part).count().collect()
     assert sorted((r.batch_id, r.lines) for r in rows) == sorted((r["part"], r["count"]) for r in wanted)
+
+
+def test_event_time_parts_are_written_by_several_tasks(small_tasks, sf_dir, monkeypatch):
+    kept = []
+    monkeypatch.setattr(queries, "delete", lambda spark, path: kept.append(path))
+    monkeypatch.setattr(queries, "_event_runs", {})
+    assert {r.kind for r in queries.stream_late_rows(small_tasks, sf_dir).collect()} == {"closed", "open", "late"}
+    stream = next(p for p in kept if p.endswith("/stream"))
+    for part in child_names(small_tasks, stream):
+        assert len([n for n in child_names(small_tasks, f"{stream}/{part}") if n.startswith("part-")]) > 1
